@@ -2,9 +2,25 @@
 
 from __future__ import annotations
 
+from . import line_dedup, quality
 from .bpe import op9_bpe
+from .licenses import op10_licenses
+from .line_dedup import op2_line_dedup
+from .near_dedup import op8_bagminhash
+from .quality import op3_quality
+from .secrets import op1_secrets
 
-QUERIES = {"op9_bpe": op9_bpe}
+QUERIES = {
+    "op1_secrets": op1_secrets,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_quality": op3_quality,
+    "op8_bagminhash": op8_bagminhash,
+    "op9_bpe": op9_bpe,
+    "op10_licenses": op10_licenses,
+}
 
 #: DuckDB SQL by query. The others are iterative, model-based or need a tokenizer; tests hold them against brute force.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": line_dedup.ORACLE_SQL,
+    "op3_quality": quality.ORACLE_SQL,
+}
