@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from . import line_dedup, quality
 from .bpe import op9_bpe
+from .decontaminate import op5_decontaminate
+from .language import op4_language
 from .licenses import op10_licenses
 from .line_dedup import op2_line_dedup
 from .near_dedup import op8_bagminhash
+from .pii import op6_pii
 from .quality import op3_quality
 from .secrets import op1_secrets
 
@@ -14,6 +17,9 @@ QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_line_dedup": op2_line_dedup,
     "op3_quality": op3_quality,
+    "op4_language": op4_language,
+    "op5_decontaminate": op5_decontaminate,
+    "op6_pii": op6_pii,
     "op8_bagminhash": op8_bagminhash,
     "op9_bpe": op9_bpe,
     "op10_licenses": op10_licenses,
