@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import line_dedup, quality
+import corpus_pipeline
+
+from . import line_dedup, preferences, quality
 from .bpe import op9_bpe
 from .decontaminate import op5_decontaminate
 from .language import op4_language
@@ -10,6 +12,7 @@ from .licenses import op10_licenses
 from .line_dedup import op2_line_dedup
 from .near_dedup import op8_bagminhash
 from .pii import op6_pii
+from .preferences import op7_preferences
 from .quality import op3_quality
 from .secrets import op1_secrets
 
@@ -20,13 +23,16 @@ QUERIES = {
     "op4_language": op4_language,
     "op5_decontaminate": op5_decontaminate,
     "op6_pii": op6_pii,
+    "op7_preferences": op7_preferences,
     "op8_bagminhash": op8_bagminhash,
     "op9_bpe": op9_bpe,
     "op10_licenses": op10_licenses,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: DuckDB SQL by query. The others are iterative, model-based or need a tokenizer; tests hold them against brute force.
 ORACLE: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE_SQL,
     "op3_quality": quality.ORACLE_SQL,
+    "op7_preferences": preferences.ORACLE_SQL,
 }
