@@ -45,6 +45,18 @@ DEALT_SCHEMA = "bucket int, chunk binary, payload binary"
 CHUNK_SCHEMA = "chunk binary, payload binary"
 
 
+def _class(kind: str, below: int) -> str:
+    """Character class (without brackets) of the characters below `below` whose category starts with `kind`."""
+    return "".join(re.escape(chr(c)) for c in range(below) if unicodedata.category(chr(c))[0] == kind)
+
+
+#: Texts without a character from here on are split by a pattern of plain character classes, which is faster.
+WIDE = 0x220
+_L, _N, _S = _class("L", WIDE), _class("N", WIDE), r"\t-\r\x20\x85\xa0"
+_NARROW = re.compile(rf" ?[{_L}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_has_wide = re.compile(f"[{chr(WIDE)}-\U0010ffff]").search
+
+
 class Vocabulary:
     """One tokenizer file: word splitter, word encoder and id-to-piece table."""
 
@@ -67,7 +79,6 @@ class Vocabulary:
         everything = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
         late = [c for c in regex.findall(r"[\p{L}\p{N}]", everything) if unicodedata.ucd_3_2_0.category(c)[0] not in "LN"]
         self.late = frozenset(late)
-        self.beyond = re.compile(f"[{min(late)}-\U0010ffff]").search
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else None
         byte_of = byte_alphabet()
         pieces = {i: bytes(byte_of[c] for c in piece) for piece, i in spec["model"]["vocab"].items()}
@@ -87,7 +98,9 @@ class Vocabulary:
         return [w for part in self.split_special(text) for w in ([part] if part in self.special else self._plain(part))]
 
     def _plain(self, text: str) -> list[str]:
-        if text.isascii() or not self.beyond(text) or self.late.isdisjoint(text):
+        if text.isascii() or not _has_wide(text):
+            return _NARROW.findall(text)
+        if self.late.isdisjoint(text):
             return self.find_words(text)
         return [text[a:b] for _, (a, b) in self.pre_tokenize(text)]
 
@@ -134,6 +147,14 @@ def _unpack(payload: bytes) -> list[str]:
     return [data[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
+class Numbers(dict):
+    """Word -> number, in order of first appearance."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 def _bucket_words(words, buckets: int) -> dict[int, list[str]]:
     """Distinct words by bucket; a bucket's list is in order of the words, so that it can be rebuilt from the chunk."""
     dealt: dict[int, list[str]] = {}
@@ -211,27 +232,32 @@ def _place(path: str, buckets: int, full: bool):
             flat = np.frombuffer(data, np.uint32, -1, 4 + 4 * n).tolist()
             ids_of_bucket[bucket] = [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
         out: dict[str, list] = {name: [] for name in ("doc_id", "ids", "decoded")} if full else {name: [] for name in ("doc_id", "n", "ids", "decoded")}
-        ids_of: dict[str, list[int]] | None = None
-        for payload in chunks.column("payload"):
+        for k, payload in enumerate(chunks.column("payload")):
             with pa.ipc.open_stream(payload.as_py()) as reader:
                 rows = reader.read_all()
-            split = [vocabulary.words(t) for t in rows.column("text").to_pylist()]
-            if ids_of is None:
-                ids_of = {}
-                for bucket, words in _bucket_words({w for words in split for w in words}, buckets).items():
-                    got = ids_of_bucket.get(bucket, [])
-                    ids_of.update(zip(words, got if len(got) == len(words) else vocabulary.encode(words), strict=True))
-            for doc_id, words in zip(rows.column("doc_id").to_pylist(), split, strict=True):
-                ids = [i for w in words for i in ids_of[w]]
-                decoded = b"".join(map(pieces.__getitem__, ids)).decode("utf-8", "replace")
+            if not k:  # further rows of the key are copies of the chunk
+                number = Numbers()
+                places = [np.fromiter(map(number.__getitem__, vocabulary.words(t.as_py())), np.int32) for t in rows.column("text")]
+                ids_of: list = [None] * len(number)
+                for bucket, words in _bucket_words(number, buckets).items():
+                    got = ids_of_bucket.pop(bucket, [])
+                    for w, ids in zip(words, got if len(got) == len(words) else vocabulary.encode(words), strict=True):
+                        ids_of[number[w]] = ids
+                # What a word adds to the result, made once for all its places.
+                count_of = np.fromiter(map(len, ids_of), np.int64, len(ids_of))
+                decimals_of = [",".join(map(decimals.__getitem__, ids)) for ids in ids_of]
+                bytes_of = [b"".join(map(pieces.__getitem__, ids)) for ids in ids_of]
+            for doc_id, place in zip(rows.column("doc_id").to_pylist(), places, strict=True):
+                words = place.tolist()
+                raw = b"".join(map(bytes_of.__getitem__, words))
                 out["doc_id"].append(doc_id)
                 if full:
-                    out["ids"].append(ids)
-                    out["decoded"].append(decoded)
+                    out["ids"].append([i for w in words for i in ids_of[w]])
+                    out["decoded"].append(raw.decode("utf-8", "replace"))
                 else:
-                    out["n"].append(len(ids))
-                    out["ids"].append(hashlib.sha256(",".join(map(decimals.__getitem__, ids)).encode()).hexdigest())
-                    out["decoded"].append(hashlib.sha256(decoded.encode()).hexdigest())
+                    out["n"].append(int(count_of[place].sum()))
+                    out["ids"].append(hashlib.sha256(",".join(map(decimals_of.__getitem__, words)).encode()).hexdigest())
+                    out["decoded"].append(hashlib.sha256(raw.decode("utf-8", "replace").encode()).hexdigest())
         if full:
             return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "ids": pa.array(out["ids"], pa.list_(pa.int32())), "decoded": pa.array(out["decoded"], pa.string())})
         return pa.table(
@@ -246,7 +272,7 @@ def _place(path: str, buckets: int, full: bool):
     return run
 
 
-def encode_decode(docs: DataFrame, path: str, *, full: bool = False, chunk_chars: int = 8_000_000, table_words: int = 2_000_000) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, *, full: bool = False, chunk_chars: int = 16_000_000, table_words: int = 2_000_000) -> DataFrame:
     """Token ids of every whole text and the text decoded from them: digests, or with `full` ids and text themselves.
 
     docs: doc_id, text and any other columns. path: the tokenizer file, at the same place on every executor.
