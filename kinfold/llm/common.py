@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,13 +48,40 @@ def shingles(word_hashes: Column, width: int) -> Column:
     return F.transform(starts, lambda i: F.xxhash64(*(F.get(word_hashes, i + k) for k in range(width))))
 
 
-def components(edges: DataFrame) -> DataFrame:
+#: Up to this many edges (16 bytes each) one task labels a graph.
+SMALL_GRAPH = 1_000_000
+
+
+def _label(batches):
+    """Min-label propagation with pointer jumping over one bounded graph."""
+    tables = [pa.Table.from_batches([b]) for b in batches]
+    if not tables:
+        return
+    table = pa.concat_tables(tables)
+    nodes, ends = np.unique(np.concatenate([table.column("a").to_numpy(), table.column("b").to_numpy()]), return_inverse=True)
+    a, b = np.split(ends, 2)
+    label = np.arange(len(nodes))
+    while True:
+        new = label.copy()
+        np.minimum.at(new, a, label[b])
+        np.minimum.at(new, b, label[a])
+        new = np.minimum(new, new[new])
+        if (new == label).all():
+            break
+        label = new
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(nodes[label], pa.int64())], names=["node", "comp"])
+
+
+def components(edges: DataFrame, small: int = SMALL_GRAPH) -> DataFrame:
     """Connected components of edges (a, b): one row (node, comp), comp the smallest node of the component.
 
-    Each round every node takes the smallest label among itself and its neighbours, then labels are followed one
-    step (pointer jumping), so star-like groups settle in two or three rounds and long chains in logarithmically
-    many. Everything stays distributed; only the number of changed labels reaches the driver.
+    At most `small` edges are labelled by one task. Beyond that every round each node takes the smallest label among itself
+    and its neighbours, then labels are followed one step (pointer jumping), so star-like groups settle in two or three
+    rounds and long chains in logarithmically many; only the number of changed labels reaches the driver.
     """
+    edges = cut(edges.select("a", "b"))
+    if edges.count() <= small:
+        return cut(edges.coalesce(1).mapInArrow(_label, "node long, comp long"))
     both = cut(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct())
     labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")))
     while True:

@@ -6,9 +6,11 @@ Plan
    BagMinHash signature. Documents of equal word sequence collapse to one representative before anything else is
    shuffled, so a group of exact copies of any size costs one row per document and nothing more.
 2. Band buckets with two or more representatives propose links. A bucket first compares its members with its smallest
-   member only (a star); verified links merge members into components. Buckets that still hold several components
-   are compared across components until no pair is left unverified between different components: pairs inside one
-   component need no comparison, since they cannot change a class. No link between different texts is lost to a cap.
+   member only (a star), which settles a group whose members all resemble that one in linear time. Verified links merge
+   members into components. Buckets that then still hold several components are compared exactly, every pair of
+   different components, in blocks of bounded size: a block pair is one task's group, its overlaps are products of
+   0/1 matrices, and it returns one row per member at most, never its pairs. No link between different texts is
+   lost to a cap; the price is that an unsettled bucket of n members costs n * n / block rows of shuffle.
 3. Verification is exact: the multiset (weighted) Jaccard similarity of five-word shingles, at least `threshold`.
 4. Links become classes by distributed connected components.
 
@@ -37,6 +39,8 @@ from .common import components, cut, is_empty, table
 WIDTH, THRESHOLD = 5, 0.8
 #: A pair at the threshold shares no band with probability (1 - 0.8 ** ROWS) ** BANDS, about 3e-6.
 BANDS, ROWS = 24, 4
+#: Members of a block in exact comparison.
+BLOCK = 512
 #: Words hashed at once.
 BATCH_WORDS = 400_000
 
@@ -103,7 +107,7 @@ def bag_signatures(elements: np.ndarray, weights: np.ndarray, starts: np.ndarray
         step = np.uint64(0)
         while len(live):
             step += np.uint64(1)
-            h = mix(seed[live] + _GOLDEN * step)
+            h = mix(seed[live] + np.multiply(_GOLDEN, [step]))
             time = time - np.log(((h >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / (registers * width[live])
             near = time < bound[doc[live]]
             live, time, h = live[near], time[near], h[near]
@@ -210,38 +214,86 @@ def verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     return near.mapInArrow(_verify(threshold), "a long, b long, linked boolean")
 
 
-def links_of(members: DataFrame, bags: DataFrame, threshold: float) -> DataFrame | None:
+def linked_groups(reps: np.ndarray, comps: np.ndarray, bags: list[np.ndarray], threshold: float) -> np.ndarray:
+    """For each bag the first member of its connected group, links being pairs of different comps within the threshold."""
+    n, sizes = len(bags), np.array([len(b) for b in bags], np.float32)
+    row = np.repeat(np.arange(n), [len(b) for b in bags])
+    flat = np.concatenate(bags)
+    # The k-th occurrence of a shingle is an element of its own: multisets become sets.
+    first = np.ones(len(flat), bool)
+    first[1:] = (flat[1:] != flat[:-1]) | (row[1:] != row[:-1])
+    run = np.arange(len(flat)) - np.maximum.accumulate(np.where(first, np.arange(len(flat)), 0))
+    elements, column, count = np.unique(mix(flat.view(np.uint64) + _GOLDEN * run.astype(np.uint64)), return_inverse=True, return_counts=True)
+    shared = np.cumsum(count > 1) - 1
+    keep = count[column] > 1
+    row, column = row[keep], shared[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((n, n), np.float32)
+    for low in range(0, int((count > 1).sum()), 4096):
+        a, b = np.searchsorted(column, [low, low + 4096])
+        part = np.zeros((n, 4096), np.float32)
+        part[row[a:b], column[a:b] - low] = 1
+        common += part @ part.T
+    union = sizes[:, None] + sizes[None, :] - common
+    # Counts are exact in float32; the quotient is compared in double precision, as in `overlap`.
+    link = (common.astype(np.float64) / union >= threshold) | (comps[:, None] == comps[None, :])
+    label = np.arange(n)
+    while True:
+        low = np.where(link, label[None, :], n).min(axis=1)
+        low = np.minimum(low, low[low])
+        if (low == label).all():
+            return label
+        label = low
+
+
+def _compare(threshold: float):
+    def run(group: pa.Table) -> pa.Table:
+        order = np.argsort(group.column("rep").to_numpy())
+        reps = group.column("rep").to_numpy()[order]
+        comps = group.column("comp").to_numpy()[order]
+        bags = [np.frombuffer(x.as_py(), np.int64) for x in group.column("bag").take(pa.array(order)).combine_chunks()]
+        label = linked_groups(reps, comps, bags, threshold)
+        moved = np.flatnonzero(comps[label] != comps)
+        return pa.table({"a": pa.array(comps[moved], pa.int64()), "b": pa.array(comps[label[moved]], pa.int64())})
+
+    return run
+
+
+def links_of(members: DataFrame, bags: DataFrame, threshold: float, block: int) -> DataFrame | None:
     """Labels (node, comp) of the components that the verified pairs of all buckets (key, rep) form; None: no pair."""
     leaders = members.groupBy("key").agg(F.min("rep").alias("b"))
     star = members.join(leaders, "key").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-    done = cut(verified(star, bags, threshold))
-    edges = done.where("linked").select("a", "b")
-    while True:
-        labels = None if is_empty(edges) else components(edges)
-        labelled = members.withColumn("comp", F.col("rep"))
-        if labels is not None:
-            joined = members.join(labels, members["rep"] == labels["node"], "left")
-            labelled = joined.select("key", "rep", F.coalesce("comp", "rep").alias("comp"))
-        # Groups (key, comp) first, so that a large settled component never meets itself.
-        open_keys = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-        held = cut(labelled.join(open_keys, "key", "left_semi"))
-        if is_empty(held):
-            return labels
-        groups = held.groupBy("key", "comp").agg(F.count("*").alias("n"))
-        left, right = groups.select("key", F.col("comp").alias("ca")), groups.select("key", F.col("comp").alias("cb"))
-        met = left.join(right, "key").where("ca < cb")
-        one = met.join(held.select("key", F.col("comp").alias("ca"), F.col("rep").alias("a")), ["key", "ca"])
-        two = one.join(held.select("key", F.col("comp").alias("cb"), F.col("rep").alias("b")), ["key", "cb"])
-        across = two.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        new = cut(verified(across.join(done, ["a", "b"], "left_anti"), bags, threshold))
-        found = new.where("linked").select("a", "b")
-        if is_empty(found):
-            return labels
-        edges = edges.union(found)
-        done = done.union(new)
-
-
-def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    edges = cut(verified(star, bags, threshold).where("linked").select("a", "b"))
+    labels = None if is_empty(edges) else components(edges)
+    labelled = members.withColumn("comp", F.col("rep"))
+    if labels is not None:
+        joined = members.join(labels, members["rep"] == labels["node"], "left")
+        labelled = joined.select("key", "rep", F.coalesce("comp", "rep").alias("comp"))
+    sized = labelled.join(bags.select(F.col("id").alias("rep"), F.length("bag").alias("bytes")), "rep")
+    of_key = sized.groupBy("key").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"), F.sum("bytes").alias("bytes"),
+        F.bit_xor(F.xxhash64("rep")).alias("x"), F.min("rep").alias("first"), F.max("rep").alias("last"),
+    ).where("lo < hi")
+    # Buckets of the same members are compared once.
+    once = of_key.groupBy("n", "x", "first", "last").agg(F.min("key").alias("key"), F.first("bytes").alias("bytes"))
+    parts = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("bytes") / F.lit(8_000_000))).cast("int").alias("parts")
+    held = cut(labelled.join(once.select("key", parts), "key"))
+    if is_empty(held):
+        return labels
+    own = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    spread = held.withColumn("own", own).select("key", "rep", "comp", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    dealt = spread.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "comp")
+    full = dealt.join(bags.select(F.col("id").alias("rep"), "bag"), "rep").select("key", "i", "j", "rep", "comp", "bag")
+    merged = full.groupBy("key", "i", "j").applyInArrow(_compare(threshold), "a long, b long").distinct()
+    more = cut(merged)
+    if is_empty(more):
+        return labels
+    # Components that met are linked through their own smallest members.
+    return components(edges.union(more))
+
+
+def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
     """One row (doc_id, class_id) per row of docs."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     signed = cut(texts.mapInArrow(_sign(bands, rows), SIGNED))
@@ -255,7 +307,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int
     if not is_empty(members):
         wanted = members.select(F.col("rep").alias("doc_id")).distinct()
         bags = cut(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_bags, "id long, bag binary"))
-        labels = links_of(members, bags, threshold)
+        labels = links_of(members, bags, threshold, block)
     if labels is not None:
         joined = named.join(labels, named["rep"] == labels["node"], "left")
         named = joined.select("doc_id", F.coalesce("comp", "rep").alias("class_id"))
