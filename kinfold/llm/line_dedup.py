@@ -45,7 +45,7 @@ def repeated_lines(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
             F.coalesce(F.get("l", s + window)["i"], F.col("n")).alias("to"),
         ),
     )
-    windows = split.where(F.size("l") >= window).select(ID, TEXT_HASH, F.explode(at).alias("w")).select(
+    windows = split.where(F.size("l") >= window).select(ID, TEXT_HASH, F.explode_outer(at).alias("w")).select(
         "w.h", "w.to", F.struct(F.col(ID), F.col(TEXT_HASH), F.col("w.from")).alias("place")
     )
     firsts = windows.groupBy("h").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
@@ -69,9 +69,17 @@ def kept_text() -> Column:
     return F.when(F.col(DROP).isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(PARTS, i)), "\n"))
 
 
-def drop_repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """docs with `text` freed of the lines that later occurrences of repeated windows cover."""
-    return with_removed(docs, window).withColumn("text", kept_text()).select(*docs.columns)
+def drop_repeated_lines(docs: DataFrame, window: int = WINDOW, drop_emptied: bool = False) -> DataFrame:
+    """docs with `text` freed of the lines that later occurrences of repeated windows cover; n_chars, if there, follows.
+
+    With drop_emptied, documents of which no line with a word is left go; others are never dropped.
+    """
+    out = with_removed(docs, window).withColumn("text", kept_text())
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col(DROP).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    if drop_emptied:
+        out = out.where(F.col(DROP).isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return out.select(*docs.columns)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
