@@ -87,8 +87,8 @@ def line_hashes(text: Column) -> Column:
 def removed_words(keyed: DataFrame, max_percent: int, min_docs: int) -> DataFrame:
     """(id, th, removed): words of boilerplate lines, for documents that have some."""
     host = F.coalesce(F.concat(F.lit("h"), F.col("source").cast("string")), F.lit("")).alias("host")
-    each = keyed.select(ID, TEXT_HASH, host, F.explode(line_hashes(F.col("text"))).alias("l"))
-    rows = each.select(ID, TEXT_HASH, "host", F.col("l.h").alias("h"), F.col("l.w").alias("w"))
+    each = keyed.select(ID, TEXT_HASH, host, F.explode_outer(line_hashes(F.col("text"))).alias("l"))
+    rows = each.where("l is not null").select(ID, TEXT_HASH, "host", F.col("l.h").alias("h"), F.col("l.w").alias("w"))
     n_docs = keyed.select(host, TEXT_HASH).distinct().groupBy("host").agg(F.count("*").alias("n_docs"))
     texts = rows.groupBy("host", "h", TEXT_HASH).agg(F.min(ID).alias("first"))
     lines = texts.groupBy("host", "h").agg(F.count("*").alias("n"), F.min("first").alias("first")).where(F.col("n") >= min_docs)
