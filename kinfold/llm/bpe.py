@@ -6,8 +6,9 @@ Plan
    *distinct* words are dealt, packed by word bucket, to the bucket's partition (hot words leave a chunk once).
 2. Word table: a bucket's partition holds each word of that bucket, so each distinct word is encoded once, however
    many chunks use it, and its ids go back to the chunk under the word's position in the chunk's word list.
-3. Join by position: chunk and ids meet by chunk key; ids are placed at the words' positions. Decoding looks every
-   id up in the id-to-piece table, whose size is the vocabulary's, and joins the pieces' bytes.
+   The word's ids are decoded in the same row, by an id-to-piece join whose table has the vocabulary's size.
+3. Join by position: chunk and rows of the word table meet by chunk key; a word's ids and decoded text are placed at each
+   of its positions.
 
 Memory is bounded by the chunk (`chunk_chars`, or a single longer text) and by `table_words` entries of a bucket's word
 table; beyond that the table starts anew, which costs repeated encoding but changes no result. A chunk's key is a hash
@@ -133,18 +134,12 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk_chars: int) -> Iterator[tup
         yield digest.digest(), ids, texts
 
 
-def _pack(words: list[str]) -> bytes:
-    raw = [w.encode("utf-8", "surrogatepass") for w in words]
-    lengths = np.fromiter(map(len, raw), np.uint32, len(raw)).tobytes()
-    return zlib.compress(len(raw).to_bytes(4, "little") + lengths + b"".join(raw), 1)
+def _pack(value) -> bytes:
+    return zlib.compress(json.dumps(value, ensure_ascii=False).encode("utf-8", "surrogatepass"), 1)
 
 
-def _unpack(payload: bytes) -> list[str]:
-    data = zlib.decompress(payload)
-    n = int.from_bytes(data[:4], "little")
-    ends = np.cumsum(np.frombuffer(data, np.uint32, n, 4), dtype=np.int64) + 4 + 4 * n
-    starts = np.concatenate(([4 + 4 * n], ends[:-1])) if n else ends
-    return [data[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+def _unpack(payload: bytes):
+    return json.loads(zlib.decompress(payload).decode("utf-8", "surrogatepass"))
 
 
 class Numbers(dict):
@@ -156,9 +151,9 @@ class Numbers(dict):
 
 
 def _bucket_words(words, buckets: int) -> dict[int, list[str]]:
-    """Distinct words by bucket; a bucket's list is in order of the words, so that it can be rebuilt from the chunk."""
+    """Distinct words by bucket, in their order of first appearance in the chunk, so that a list can be made again."""
     dealt: dict[int, list[str]] = {}
-    for w in sorted(words):
+    for w in words:
         dealt.setdefault(zlib.crc32(w.encode("utf-8", "surrogatepass")) % buckets, []).append(w)
     return dealt
 
@@ -167,38 +162,45 @@ def _deal(path: str, chunk_chars: int, buckets: int):
     def run(batches):
         vocabulary = Vocabulary.at(path)
         for key, _, texts in _chunks(batches, chunk_chars):
-            distinct: set[str] = set()
+            distinct: dict[str, None] = {}
             for text in texts:
-                distinct.update(vocabulary.words(text))
+                distinct |= dict.fromkeys(vocabulary.words(text))
             dealt = _bucket_words(distinct, buckets)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(dealt), pa.int32()), pa.array([key] * len(dealt), pa.binary()), pa.array([_pack(w) for w in dealt.values()], pa.binary())],
+                [pa.array(list(dealt), pa.int32()), pa.array([key] * len(dealt), pa.binary()), pa.array(list(map(_pack, dealt.values())), pa.binary())],
                 names=["bucket", "chunk", "payload"],
             )
 
     return run
 
 
+def _rows_of(vocabulary: Vocabulary, words: list[str]) -> tuple[list[str], list[str]]:
+    """The word table's columns: ids in decimals, and the text that the ids' pieces decode to."""
+    decimals, pieces = vocabulary.decimals.__getitem__, vocabulary.pieces.__getitem__
+    ids = vocabulary.encode(words)
+    return [",".join(map(decimals, x)) for x in ids], [b"".join(map(pieces, x)).decode("utf-8", "replace") for x in ids]
+
+
 def _word_table(path: str, table_words: int):
-    """Encodes each distinct word of the partition once; a packed word list goes back as its words' ids, in order."""
+    """Encodes and decodes each distinct word of the partition once; a packed word list goes back as its rows, in order.
+
+    A word's decoded text is sent only where it differs from the word.
+    """
 
     def run(batches):
-        vocabulary, known = Vocabulary.at(path), {}
+        vocabulary, known, other = Vocabulary.at(path), {}, {}
         for batch in batches:
             out = []
-            for payload in batch.column(2):
+            for bucket, payload in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
                 words = _unpack(payload.as_py())
                 new = [w for w in words if w not in known]
                 if len(known) + len(new) > table_words:
-                    known, new = {}, words
-                known.update(zip(new, (np.array(x, np.uint32).tobytes() for x in vocabulary.encode(new)), strict=True))
-                ids = [known[w] for w in words]
-                counts = np.fromiter((len(x) // 4 for x in ids), np.uint32, len(ids)).tobytes()
-                out.append(zlib.compress(len(ids).to_bytes(4, "little") + counts + b"".join(ids), 1))
-            bucket = [b.to_bytes(4, "little") for b in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1).cast(pa.binary()), pa.array([b + x for b, x in zip(bucket, out, strict=True)], pa.binary())], names=["chunk", "payload"]
-            )
+                    known, other, new = {}, {}, words
+                ids, decoded = _rows_of(vocabulary, new)
+                known.update(zip(new, ids, strict=True))
+                other.update((w, d) for w, d in zip(new, decoded, strict=True) if w != d)
+                out.append(_pack([bucket, ";".join(map(known.__getitem__, words)), {w: other[w] for w in words if w in other} if other else {}]))
+            yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.binary()), pa.array(out, pa.binary())], names=["chunk", "payload"])
 
     return run
 
@@ -222,15 +224,7 @@ def _place(path: str, buckets: int, full: bool):
 
     def run(chunks: pa.Table, dealt: pa.Table) -> pa.Table:
         vocabulary = Vocabulary.at(path)
-        pieces, decimals = vocabulary.pieces, vocabulary.decimals
-        ids_of_bucket: dict[int, list[list[int]]] = {}
-        for payload in dealt.column("payload"):
-            raw = payload.as_py()
-            bucket, data = int.from_bytes(raw[:4], "little"), zlib.decompress(raw[4:])
-            n = int.from_bytes(data[:4], "little")
-            ends = np.cumsum(np.frombuffer(data, np.uint32, n, 4), dtype=np.int64).tolist()
-            flat = np.frombuffer(data, np.uint32, -1, 4 + 4 * n).tolist()
-            ids_of_bucket[bucket] = [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        rows_of_bucket = {bucket: (ids.split(";"), other) for bucket, ids, other in (_unpack(p.as_py()) for p in dealt.column("payload"))}
         out: dict[str, list] = {name: [] for name in ("doc_id", "ids", "decoded")} if full else {name: [] for name in ("doc_id", "n", "ids", "decoded")}
         for k, payload in enumerate(chunks.column("payload")):
             with pa.ipc.open_stream(payload.as_py()) as reader:
@@ -238,26 +232,28 @@ def _place(path: str, buckets: int, full: bool):
             if not k:  # further rows of the key are copies of the chunk
                 number = Numbers()
                 places = [np.fromiter(map(number.__getitem__, vocabulary.words(t.as_py())), np.int32) for t in rows.column("text")]
-                ids_of: list = [None] * len(number)
+                ids_of, decoded_of = [""] * len(number), list(number)
                 for bucket, words in _bucket_words(number, buckets).items():
-                    got = ids_of_bucket.pop(bucket, [])
-                    for w, ids in zip(words, got if len(got) == len(words) else vocabulary.encode(words), strict=True):
+                    got, other = rows_of_bucket.pop(bucket, ((), {}))
+                    if len(got) != len(words):
+                        got, decoded = _rows_of(vocabulary, words)
+                        other = dict(zip(words, decoded, strict=True))
+                    for w, ids in zip(words, got, strict=True):
                         ids_of[number[w]] = ids
-                # What a word adds to the result, made once for all its places.
-                count_of = np.fromiter(map(len, ids_of), np.int64, len(ids_of))
-                decimals_of = [",".join(map(decimals.__getitem__, ids)) for ids in ids_of]
-                bytes_of = [b"".join(map(pieces.__getitem__, ids)) for ids in ids_of]
+                    for w, text in other.items():
+                        decoded_of[number[w]] = text
+                count_of = np.fromiter((ids.count(",") + 1 for ids in ids_of), np.int64, len(ids_of))
             for doc_id, place in zip(rows.column("doc_id").to_pylist(), places, strict=True):
                 words = place.tolist()
-                raw = b"".join(map(bytes_of.__getitem__, words))
+                ids, decoded = ",".join(map(ids_of.__getitem__, words)), "".join(map(decoded_of.__getitem__, words))
                 out["doc_id"].append(doc_id)
                 if full:
-                    out["ids"].append([i for w in words for i in ids_of[w]])
-                    out["decoded"].append(raw.decode("utf-8", "replace"))
+                    out["ids"].append(list(map(int, ids.split(","))) if words else [])
+                    out["decoded"].append(decoded)
                 else:
                     out["n"].append(int(count_of[place].sum()))
-                    out["ids"].append(hashlib.sha256(",".join(map(decimals_of.__getitem__, words)).encode()).hexdigest())
-                    out["decoded"].append(hashlib.sha256(raw.decode("utf-8", "replace").encode()).hexdigest())
+                    out["ids"].append(hashlib.sha256(ids.encode()).hexdigest())
+                    out["decoded"].append(hashlib.sha256(decoded.encode()).hexdigest())
         if full:
             return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "ids": pa.array(out["ids"], pa.list_(pa.int32())), "decoded": pa.array(out["decoded"], pa.string())})
         return pa.table(
