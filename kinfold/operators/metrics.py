@@ -109,7 +109,7 @@ def macro_grid(scored: DataFrame, low: int = 20, high: int = 95, step: int = 1)
     grid = grid_rows(scored.sparkSession, low, high, step).join(found, "k", "left").crossJoin(F.broadcast(totals))  # a row each
     # Groups that predict nothing at a threshold score 1 if they have no true pair, else 0.
     silent = F.col("single") - F.coalesce("met_single", F.lit(0))
-    return grid.select((F.col("k") / 100.0).alias("threshold"), ((F.coalesce("sum", F.lit(0.0)) + silent) / F.col("n")).alias("score"))
+    return grid.select((F.col("k") / 100.0).alias("threshold"), ratio(F.coalesce("sum", F.lit(0.0)) + silent, F.col("n")).alias("score"))
 
 
 def best_threshold(grid: DataFrame) -> DataFrame:
