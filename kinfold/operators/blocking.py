@@ -147,9 +147,12 @@ def boundary_grams(c: Column, low: int = 3, high: int = 5) -> Column:
     """Character n-grams inside words padded by one space, with repeats; a word shorter than n gives itself once."""
     padded = F.transform(F.filter(F.split(c, " "), lambda w: w != ""), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
 
+    def of_length(w: Column, n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(w) - n + 1, F.lit(1)))
+        return F.when(F.length(w) >= n, F.transform(starts, lambda i: F.substring(w, i, F.lit(n))))
+
     def grams(w: Column) -> Column:
-        every = [F.when(F.length(w) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - n + 1, F.lit(1))), lambda i, n=n: F.substring(w, i, F.lit(n)))) for n in range(low, high + 1)]
-        return F.flatten(F.array_compact(F.array(*every)))
+        return F.flatten(F.array_compact(F.array(*(of_length(w, n) for n in range(low, high + 1)))))
 
     return F.flatten(F.transform(padded, grams))
 

@@ -286,7 +286,24 @@ def block_multi(spark, sf_dir):
     return B.multi_block(*sides(spark, sf_dir), grams=True).select(S1, TARGET)
 
 
-@query()
+_WORD_GRAMS = (
+    f"flatten(list_transform({Q.words('name_n')}, lambda w: flatten(list_transform([3, 4, 5], lambda n: CASE WHEN length(w) + 2 >= n "
+    "THEN list_transform(range(1, length(w) + 4 - n), lambda i: substr(' ' || w || ' ', i, n)) ELSE [] END))))"
+)
+
+
+@query(
+    _with(*_BASE)
+    + f""", tg AS (SELECT ord, g, count(*) AS tf FROM (SELECT ord, unnest({_WORD_GRAMS}) AS g FROM t) GROUP BY ALL),
+qg AS (SELECT s1, g, count(*) AS tf FROM (SELECT entity_id AS s1, unnest({_WORD_GRAMS}) AS g FROM q) GROUP BY ALL),
+idf AS (SELECT g, ln((1.0 + (SELECT count(*) FROM t)) / (1.0 + count(*))) + 1.0 AS idf FROM tg GROUP BY g),
+tw AS (SELECT ord, g, tf * idf AS w FROM tg JOIN idf USING (g)), qw AS (SELECT s1, g, tf * idf AS w FROM qg JOIN idf USING (g)),
+tn AS (SELECT ord, sqrt(sum(w * w)) AS n FROM tw GROUP BY ord), qn AS (SELECT s1, sqrt(sum(w * w)) AS n FROM qw GROUP BY s1),
+cos AS (SELECT s1, ord, round(sum(qw.w / qn.n * tw.w / tn.n), 9) AS cosine FROM qw JOIN qn USING (s1) JOIN tw USING (g) JOIN tn USING (ord) GROUP BY s1, ord),
+best AS (SELECT *, row_number() OVER (PARTITION BY s1 ORDER BY cosine DESC, ord) AS rn FROM cos)
+SELECT s1 AS source1_entity_id, t.entity_id AS candidate_entity_id, best.ord, 'nearest_name' AS block_type, format('{{:.6f}}', cosine) AS blocking_key
+FROM best JOIN t ON t.ord = best.ord WHERE rn <= 10"""
+)
 def block_nearest_names(spark, sf_dir):
     """The ten nearest names by exact TF-IDF cosine of character n-grams."""
     return _block(B.nearest_names(*sides(spark, sf_dir)))

@@ -366,6 +366,28 @@ def errors_false_negatives(spark, sf_dir):
     return rows.select(S1, TARGET, F.regexp_replace(reason, r" \(Prob.*", "").alias("reason"))
 
 
+@query(ORACLE["metrics_sweep"].replace("SELECT *, ", "SELECT threshold, tp, fp, fn, round(precision, 4) AS precision, round(recall, 4) AS recall, ", 1))
+def sink_evaluation(spark, sf_dir):
+    """The threshold sweep written as CSV, and read back."""
+    from ..sources.reports import write_csv
+
+    path = I.scratch(spark, "sweep")
+    rows = M.sweep(A.scored_pairs(spark, sf_dir))
+    write_csv(rows.withColumns({"precision": F.round("precision", 4), "recall": F.round("recall", 4)}), path)
+    return spark.read.schema("threshold double, tp long, fp long, fn long, precision double, recall double, f1 double, f05 double").csv(path, header=True)
+
+
+@query(ORACLE["metrics_macro"])
+def sink_metrics_json(spark, sf_dir):
+    """Macro metrics written as JSON, and read back."""
+    from ..sources.reports import write_json
+
+    path = I.scratch(spark, "metrics")
+    rows = metrics_macro(spark, sf_dir)
+    write_json(rows, path)
+    return spark.read.schema(rows.schema).json(path)
+
+
 #: Trees in the registered model queries; the full setting is Settings().
 QUICK = L.Settings(trees=10, depth=3, rate=0.3)
 

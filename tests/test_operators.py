@@ -115,3 +115,14 @@ def test_serving(spark):
     same = {"business_name": "Acme Ltd", "business_address": "1 Hill Road", "country": "in"}
     assert match_records(spark, same, same)["is_match"]
     assert not match_records(spark, same, {"business_name": "Zeta"})["is_match"]
+
+
+def test_reports(spark, tmp_path):
+    from kinfold.sources import reports as R
+
+    rows = spark.createDataFrame([(1, 0.5)], "n long, share double")
+    R.write_json(rows, str(tmp_path / "j"))
+    assert R.read_json(spark, str(tmp_path / "j")) == {"n": 1, "share": 0.5}
+    assert R.summary(rows) == "n: 1\nshare: 0.500000" and R.summary(rows.limit(0)) == ""
+    R.write_summary(spark, rows, str(tmp_path / "t"))
+    assert spark.read.text(str(tmp_path / "t")).count() == 2
