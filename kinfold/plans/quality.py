@@ -257,7 +257,8 @@ found(file, rule, severity, x) AS (
 def _broken(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Reference records, targets, candidate lists, and match lists with every kind of fault."""
     pairs, q, t = _candidates(spark, sf_dir)
-    cands = I.id_lists(q, pairs, "candidate_entity_ids").join(q.select(F.col("entity_id").alias(S1), "ord"), S1)
+    # Every finding reads the lists twice, so they are written first, as result files are.
+    cands = I.settled(I.id_lists(q, pairs, "candidate_entity_ids").join(q.select(F.col("entity_id").alias(S1), "ord"), S1), "candidates")
     ids = F.col("candidate_entity_ids")
     bad = F.when(F.col("ord") % 5 == 0, F.concat(ids, F.lit(",S1-1,X9, S2-1,S2-1"))).otherwise(ids).alias("matched_entity_ids")
     rows = cands.where("ord % 11 <> 0")

@@ -20,6 +20,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared}/{name}-{uuid.uuid4().hex}"
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written once to the shared folder: for results that several later steps read."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_tsv(df: DataFrame, path: str) -> None:
     """Tab-separated with a header; values are written as they are, without quotes."""
     df.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("emptyValue", "").option("nullValue", "").csv(path)
