@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ID, OWN, SEPARATORS, TEXT_HASH, table
+from .common import ID, OWN, SEPARATORS, TEXT_HASH, cut, table
 
 WINDOW = 3
 DROP, PARTS, LINE = f"{OWN}drop", f"{OWN}parts", f"{OWN}line"
@@ -49,7 +49,8 @@ def repeated_lines(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
         "w.h", "w.to", F.struct(F.col(ID), F.col(TEXT_HASH), F.col("w.from")).alias("place")
     )
     firsts = windows.groupBy("h").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
-    later = windows.join(firsts.select("h", "first"), "h").where("place <> first")
+    # A table of its own: the join shuffles both sides, so that a hot window can be split at run time.
+    later = windows.join(cut(firsts.select("h", "first")), "h").where("place <> first")
     covers = F.explode(F.sequence("place.from", F.col("to") - 1)).alias(LINE)
     covered = later.select(F.col(f"place.{ID}").alias(ID), F.col(f"place.{TEXT_HASH}").alias(TEXT_HASH), covers)
     return covered.groupBy(ID, TEXT_HASH).agg(F.collect_set(LINE).alias(DROP))
