@@ -98,7 +98,8 @@ def starts_of(docs: DataFrame, items: DataFrame, threshold: float, broadcast_row
 def contaminated(
     docs: DataFrame, items: DataFrame, *, threshold: float = THRESHOLD, radius: int = RADIUS, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """One row per document and item that it contains: best similarity, its first word, its number of shingles."""
+    """One row per document and item that it contains: best similarity, the first word of the first window that has it
+    among those that start at a shingle of the item, and that window's number of shingles."""
     if not 0 <= radius <= 23:
         raise ValueError("eight blocks probed one bit away on both sides cover a radius up to 23")
     spark = docs.sparkSession
@@ -121,7 +122,8 @@ def contaminated(
     near = asked.join(held, ["size", "p"]).where(distance("fp", "item_fp") <= radius)
     pairs = near.select(ID, TEXT_HASH, "pos", "size", "item_id").distinct()
     both = pairs.join(windows.select(ID, TEXT_HASH, "pos", "size", "bag"), [ID, TEXT_HASH, "pos", "size"]).join(bags.select("item_id", "sh"), "item_id")
-    scored = both.select(ID, TEXT_HASH, "item_id", "pos", F.size("bag").alias("n"), similarity("bag", "sh").alias("s")).where(F.col("s") >= threshold)
+    # A window counts for the items that hold its first shingle: a shift to the right reaches such a one at no loss.
+    scored = both.where("array_contains(sh, bag[0])").select(ID, TEXT_HASH, "item_id", "pos", F.size("bag").alias("n"), similarity("bag", "sh").alias("s")).where(F.col("s") >= threshold)
     best = scored.groupBy(ID, TEXT_HASH, "item_id").agg(F.max(F.struct("s", (-F.col("pos")).alias("back"), "n")).alias("b"))
     doc_id = F.when(F.col(ID) != NO_ID, F.col(ID)).alias("doc_id")
     return best.select(
@@ -141,3 +143,27 @@ def keep_clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "similarity", "start", "n_shingles")
+
+
+#: The same rows in DuckDB's SQL: every window that starts at a shingle of an item against that item.
+ORACLE_SQL = rf"""
+WITH dw AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents
+), iw AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM benchmark
+), ds AS (
+  SELECT doc_id, pos, array_to_string(ws[pos + 1:pos + {WIDTH}], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(0, len(ws) - {WIDTH - 1})) AS pos FROM dw)
+), bs AS (
+  SELECT item_id, array_to_string(ws[pos + 1:pos + {WIDTH}], ' ') AS s FROM (SELECT item_id, ws, unnest(range(0, len(ws) - {WIDTH - 1})) AS pos FROM iw)
+), bag AS (SELECT item_id, s, count(*) AS c, sum(count(*)) OVER (PARTITION BY item_id) AS size FROM bs GROUP BY item_id, s),
+starts AS (SELECT d.doc_id, b.item_id, d.pos, CAST(b.size AS BIGINT) AS size FROM ds d JOIN bag b USING (s)),
+inside AS (
+  SELECT t.doc_id, t.item_id, t.pos, any_value(t.size) AS size, d.s, count(*) AS c
+  FROM starts t JOIN ds d ON d.doc_id = t.doc_id AND d.pos >= t.pos AND d.pos < t.pos + t.size GROUP BY t.doc_id, t.item_id, t.pos, d.s
+), met AS (
+  SELECT i.doc_id, i.item_id, i.pos, any_value(i.size) AS size, sum(i.c) AS n, sum(least(i.c, coalesce(b.c, 0))) AS common
+  FROM inside i LEFT JOIN bag b ON b.item_id = i.item_id AND b.s = i.s GROUP BY i.doc_id, i.item_id, i.pos
+), rated AS (SELECT doc_id, item_id, pos, n, common / CAST(n + size - common AS DOUBLE) AS similarity FROM met
+), best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, pos) AS rn FROM rated WHERE similarity >= {THRESHOLD})
+SELECT doc_id, item_id, similarity, CAST(pos AS BIGINT) AS start, CAST(n AS BIGINT) AS n_shingles FROM best WHERE rn = 1
+"""

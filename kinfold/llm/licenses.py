@@ -178,3 +178,35 @@ def scan_licenses(docs: DataFrame, *, templates=TEMPLATES, threshold: float = TH
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def _sql_list(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+_WORDS_SQL = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_PLACES_SQL = " UNION ALL ".join(
+    f"SELECT doc_id, '{label}' AS label, unnest(list_filter(range(0, len(ws)), lambda i: ws[i + 1:i + {len(phrase.split())}] = {_sql_list(phrase.split())})) AS i FROM d" for phrase, label in PHRASES
+)
+_TEMPLATES_SQL = ", ".join(f"('{label}', {_sql_list(sorted(tokens))})" for label, tokens in template_sets(TEMPLATES))
+#: The same rows in DuckDB's SQL: every block against every template.
+ORACLE_SQL = f"""
+WITH low AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+d AS (SELECT doc_id, text, {_WORDS_SQL.format('text')} AS ws FROM low),
+places AS ({_PLACES_SQL}),
+lines AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS line FROM d),
+worded AS (SELECT doc_id, i, {_WORDS_SQL.format('line')} AS ws FROM lines),
+runs AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM worded WHERE len(ws) > 0),
+blocks AS (SELECT doc_id, list_distinct(ws) AS b FROM runs UNION ALL SELECT doc_id, list_distinct(flatten(list(ws))) FROM runs GROUP BY doc_id, run),
+templates(label, t) AS (VALUES {_TEMPLATES_SQL}),
+met AS (
+  SELECT doc_id, label, len(list_intersect(t, b)) / CAST(len(t) AS DOUBLE) AS share FROM blocks, templates
+  WHERE len(list_intersect(t, b)) >= ceil({THRESHOLD} * len(t) - 1e-9)
+),
+by_place AS (SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS z, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY doc_id),
+by_label AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM met UNION ALL SELECT doc_id, label FROM places) GROUP BY doc_id),
+by_share AS (SELECT doc_id, max(share) AS score FROM met GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(p.n, 0) AS n_base, CAST(p.a AS BIGINT) AS first_word, CAST(p.z AS BIGINT) AS last_word,
+       coalesce(p.labels, '') AS base_labels, coalesce(l.labels, '') AS labels, coalesce(s.score, 0.0::DOUBLE) AS score
+FROM d LEFT JOIN by_place p USING (doc_id) LEFT JOIN by_label l USING (doc_id) LEFT JOIN by_share s USING (doc_id)
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import line_dedup, preferences, quality
+from . import decontaminate, licenses, line_dedup, preferences, quality
 from .bpe import op9_bpe
 from .decontaminate import op5_decontaminate
 from .language import op4_language
@@ -34,5 +34,7 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE_SQL,
     "op3_quality": quality.ORACLE_SQL,
+    "op5_decontaminate": decontaminate.ORACLE_SQL,
     "op7_preferences": preferences.ORACLE_SQL,
+    "op10_licenses": licenses.ORACLE_SQL,
 }
