@@ -298,11 +298,13 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     signed = cut(texts.mapInArrow(_sign(bands, rows), SIGNED))
     full = signed.where("doc_id is not null and n_shingles > 0")
-    reps = full.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    buckets = reps.select("rep", F.explode("bands").alias("key"))
+    # A table of its own: joins with it shuffle both sides, so that a hot group of copies can be split at run time.
+    reps = cut(full.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")))
+    first = full.join(reps, (full["k1"] == reps["k1"]) & (full["k2"] == reps["k2"]) & (full["doc_id"] == reps["rep"]))
+    buckets = first.select("rep", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key")
     members = cut(buckets.join(shared, "key", "left_semi").distinct())
-    named = full.join(reps.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc_id", "rep")
+    named = full.join(reps, ["k1", "k2"]).select("doc_id", "rep")
     labels = None
     if not is_empty(members):
         wanted = members.select(F.col("rep").alias("doc_id")).distinct()
