@@ -35,8 +35,10 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def sides(spark: SparkSession, sf_dir: str, source=A.records) -> tuple[DataFrame, DataFrame]:
+def sides(spark: SparkSession, sf_dir: str, source=A.records, settle: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Prepared reference and target records; `settle` writes them once, for plans of several blocks."""
     rows = prepare(source(spark, sf_dir))
+    rows = I.settled(rows, "prepared") if settle else rows
     return A.feed(rows, "S1"), A.feed(rows, "S2", "S3")
 
 
@@ -266,7 +268,7 @@ def block_char_grams(spark, sf_dir):
 @query(_with(*_BASE, _EXACT, _TOKENS, _ADDRESS, _GRAMS, Q.union("u", "exact", "toks", "addr", "gram")) + f"SELECT {Q.PAIRS}, ord, prio, block_type, blocking_key FROM u")
 def block_union(spark, sf_dir):
     """All blocks of the in-memory blocker; each pair under its first block."""
-    q, t = sides(spark, sf_dir)
+    q, t = sides(spark, sf_dir, settle=True)
     return B.union_blocks(B.exact_name(q, t), B.rare_tokens(q, t), B.address_overlap(q, t), B.gram_overlap(q, t))
 
 
@@ -283,7 +285,7 @@ SELECT {Q.PAIRS} FROM c WHERE n <= 30 UNION ALL SELECT {Q.PAIRS} FROM best WHERE
 )
 def block_multi(spark, sf_dir):
     """The in-memory blocker with grams, at most 30 candidates per reference record by lexical score."""
-    return B.multi_block(*sides(spark, sf_dir), grams=True).select(S1, TARGET)
+    return B.multi_block(*sides(spark, sf_dir, settle=True), grams=True).select(S1, TARGET)
 
 
 _WORD_GRAMS = (
@@ -306,7 +308,7 @@ FROM best JOIN t ON t.ord = best.ord WHERE rn <= 10"""
 )
 def block_nearest_names(spark, sf_dir):
     """The ten nearest names by exact TF-IDF cosine of character n-grams."""
-    return _block(B.nearest_names(*sides(spark, sf_dir)))
+    return _block(B.nearest_names(*sides(spark, sf_dir, settle=True)))
 
 
 _CODE = "nullif(" + Q.first_postal("addr_n") + ", '')"
@@ -323,7 +325,7 @@ _STAGES = (
 @query(_with(*_BASE, *_STAGES) + f"SELECT {Q.PAIRS}, ord, prio, block_type, blocking_key FROM stages")
 def block_scalable_stages(spark, sf_dir):
     """Stages 1 to 5 of the scalable blocker; the prefix only where fewer than ten candidates came before."""
-    return B.scalable_stages(*sides(spark, sf_dir))
+    return B.scalable_stages(*sides(spark, sf_dir, settle=True))
 
 
 _WORDS5 = Q.address_words("addr_tokens")
@@ -353,7 +355,7 @@ _SCALABLE = (
 )
 def block_scalable(spark, sf_dir):
     """The scalable blocker: prefilter, 25 best, fallback; every reference record has a candidate."""
-    return B.scalable(*sides(spark, sf_dir)).withColumn("score", F.round("score", 9))
+    return B.scalable(*sides(spark, sf_dir, settle=True)).withColumn("score", F.round("score", 9))
 
 
 _KEY = "country_n || ':' || " + Q.key_token("name_tokens")
@@ -370,7 +372,7 @@ _BATCH = (
 @query(_with(*_BASE, *_BATCH) + f"SELECT {Q.PAIRS}, ord, prio, block_type, blocking_key FROM batch")
 def block_batch(spark, sf_dir):
     """The batch matcher's blocks, the first 15 candidates by block and order."""
-    return B.batch_blocks(*sides(spark, sf_dir))
+    return B.batch_blocks(*sides(spark, sf_dir, settle=True))
 
 
 @query(
@@ -384,7 +386,7 @@ def block_batch(spark, sf_dir):
 )
 def block_single_file(spark, sf_dir):
     """The single-file variant: other caps, grams by country where fewer than ten, one fallback."""
-    return B.single_file(*sides(spark, sf_dir))
+    return B.single_file(*sides(spark, sf_dir, settle=True))
 
 
 @query(
@@ -393,7 +395,7 @@ def block_single_file(spark, sf_dir):
 )
 def block_fallback(spark, sf_dir):
     """Anchors for reference records whose exact name finds nothing among a seventh of the targets (the others are no targets here)."""
-    q, t = sides(spark, sf_dir)
+    q, t = sides(spark, sf_dir, settle=True)
     t = t.where("ord % 7 = 0")
     return B.fallback(q, B.block(q, t, B.non_empty("name_n"), B.non_empty("name_n"), 10, "exact_name"), t)
 
@@ -410,8 +412,8 @@ _TOKEN_FEATURES = f"""CAST(a.country_n <> '' AND a.country_n = b.country_n AS DO
 
 
 def _candidates(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
-    q, t = sides(spark, sf_dir)
-    return B.batch_blocks(q, t).select(S1, TARGET, "ord"), q, t
+    q, t = sides(spark, sf_dir, settle=True)
+    return I.settled(B.batch_blocks(q, t).select(S1, TARGET, "ord"), "candidates"), q, t
 
 
 @query(_with(*_BASE, *_BATCH) + f"SELECT {Q.PAIRS}, {_TOKEN_FEATURES} FROM {_AB.format(of='batch')}")

@@ -192,7 +192,7 @@ def candidates_recall(spark, sf_dir):
 @query(_with(*_BASE, *_STAGES) + "SELECT block_type, count(*) AS pairs, count(*) / (SELECT count(DISTINCT s1) FROM stages)::DOUBLE AS rate FROM stages GROUP BY block_type")
 def candidates_by_block(spark, sf_dir):
     """Pairs of each block of the scalable stages and their rate per record."""
-    return M.block_histogram(B.scalable_stages(*sides(spark, sf_dir)))
+    return M.block_histogram(B.scalable_stages(*sides(spark, sf_dir, settle=True)))
 
 
 _MATCHED = f"matched AS (SELECT s1, cid FROM batch JOIN q a ON a.entity_id = s1 JOIN t b ON b.entity_id = cid WHERE {Q.jaccard('a.name_tokens', 'b.name_tokens')} >= 0.5)"

@@ -15,9 +15,14 @@ PROVENANCE = "array<struct<target_id:string,block_type:string,blocking_key:strin
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share."""
+    """A new path in the folder that driver and executors share; it is deleted when the application ends."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="kinfold-")
-    return f"{shared}/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{folder}/data"
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
