@@ -26,9 +26,10 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ID, SEPARATORS, TEXT_HASH, table
+from .common import ID, OWN, SEPARATORS, TEXT_HASH, table
 
 MAX_PERCENT, MIN_DOCS, LEFT_PERCENT = 10, 25, 30
+GONE = f"{OWN}gone"
 STATS = "doc_id long, id long, th long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 _SYMBOLS = regex.compile(r"[#*$%&|<>]")
 
@@ -75,17 +76,21 @@ def _stats(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *columns], names=[f.split()[0] for f in STATS.split(", ")])
 
 
+def normal(line: Column) -> Column:
+    """A line in lower case, white space runs as one space, digit runs as 0."""
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), SEPARATORS, " "), "[0-9]+", "0"))
+
+
 def line_hashes(text: Column) -> Column:
     """(hash, words) of every line with a word."""
-    normal = F.transform(F.split(text, "\n"), lambda x: F.trim(F.regexp_replace(F.regexp_replace(F.lower(x), SEPARATORS, " "), "[0-9]+", "0")))
     return F.transform(
-        F.filter(normal, lambda x: x != ""),
+        F.filter(F.transform(F.split(text, "\n"), normal), lambda x: x != ""),
         lambda x: F.struct(F.xxhash64(x).alias("h"), (F.length(x) - F.length(F.translate(x, " ", "")) + 1).alias("w")),
     )
 
 
-def removed_words(keyed: DataFrame, max_percent: int, min_docs: int) -> DataFrame:
-    """(id, th, removed): words of boilerplate lines, for documents that have some."""
+def boilerplate(keyed: DataFrame, max_percent: int, min_docs: int) -> DataFrame:
+    """(id, th, h, w): the lines of boilerplate, by document, with their words; the first document that has one keeps it."""
     host = F.coalesce(F.concat(F.lit("h"), F.col("source").cast("string")), F.lit("")).alias("host")
     each = keyed.select(ID, TEXT_HASH, host, F.explode_outer(line_hashes(F.col("text"))).alias("l"))
     rows = each.where("l is not null").select(ID, TEXT_HASH, "host", F.col("l.h").alias("h"), F.col("l.w").alias("w"))
@@ -93,14 +98,30 @@ def removed_words(keyed: DataFrame, max_percent: int, min_docs: int) -> DataFram
     texts = rows.groupBy("host", "h", TEXT_HASH).agg(F.min(ID).alias("first"))
     lines = texts.groupBy("host", "h").agg(F.count("*").alias("n"), F.min("first").alias("first")).where(F.col("n") >= min_docs)
     frequent = lines.join(n_docs, "host").where(100 * F.col("n") > max_percent * F.col("n_docs")).select("host", "h", "first")
-    hits = rows.join(frequent, ["host", "h"]).where(F.col(ID) > F.col("first"))
-    return hits.groupBy(ID, TEXT_HASH).agg(F.sum("w").alias("removed"))
+    return rows.join(frequent, ["host", "h"]).where(F.col(ID) > F.col("first")).select(ID, TEXT_HASH, "h", "w")
+
+
+def removed_words(keyed: DataFrame, max_percent: int, min_docs: int) -> DataFrame:
+    """(id, th, removed): words of boilerplate lines, for documents that have some."""
+    return boilerplate(keyed, max_percent, min_docs).groupBy(ID, TEXT_HASH).agg(F.sum("w").alias("removed"))
+
+
+def without_boilerplate(docs: DataFrame, *, max_percent: int = MAX_PERCENT, min_docs: int = MIN_DOCS) -> DataFrame:
+    """docs with `text` freed of boilerplate lines; documents without any are unchanged, null stays null."""
+    keyed = docs.withColumns(_keys())
+    gone = boilerplate(keyed.select(ID, TEXT_HASH, "text", "source"), max_percent, min_docs).groupBy(ID, TEXT_HASH).agg(F.collect_set("h").alias(GONE))
+    left = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(GONE, F.xxhash64(normal(x))))
+    text = F.when(F.col(GONE).isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    return keyed.join(gone.hint("shuffle_hash"), [ID, TEXT_HASH], "left").withColumn("text", text).select(*docs.columns)
+
+
+def _keys() -> dict[str, Column]:
+    return {ID: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), TEXT_HASH: F.xxhash64(F.coalesce("text", F.lit("")))}
 
 
 def quality(docs: DataFrame, *, max_percent: int = MAX_PERCENT, min_docs: int = MIN_DOCS, left_percent: int = LEFT_PERCENT) -> DataFrame:
     """One row per row of docs (doc_id, text, source): the counts, base_failed, removed_words, kept and the keys."""
-    keys = {ID: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), TEXT_HASH: F.xxhash64(F.coalesce("text", F.lit("")))}
-    keyed = docs.select("doc_id", "text", "source").withColumns(keys)
+    keyed = docs.select("doc_id", "text", "source").withColumns(_keys())
     stats = keyed.select(F.col("doc_id").cast("long"), ID, TEXT_HASH, "text").mapInArrow(_stats, STATS)
     copies = keyed.groupBy(ID, TEXT_HASH).agg(F.count("*").alias("copies")).where("copies > 1")
     removed = removed_words(keyed, max_percent, min_docs).join(copies, [ID, TEXT_HASH], "left")
@@ -118,9 +139,8 @@ def quality(docs: DataFrame, *, max_percent: int = MAX_PERCENT, min_docs: int =
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The documents that the quality rules keep, unchanged."""
-    keys = {ID: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), TEXT_HASH: F.xxhash64(F.coalesce("text", F.lit("")))}
     good = quality(docs, **options).where("kept").select(F.col("id").alias(ID), F.col("th").alias(TEXT_HASH))
-    return docs.withColumns(keys).join(good.distinct(), [ID, TEXT_HASH], "left_semi").select(*docs.columns)
+    return docs.withColumns(_keys()).join(good.distinct(), [ID, TEXT_HASH], "left_semi").select(*docs.columns)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -199,5 +199,27 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_scan, SCHEMA)
 
 
+def redacted(text: str) -> str:
+    """Text with every span replaced by its kind in brackets; of overlapping spans the first counts."""
+    out, at = [], 0
+    for a, kind, b in find_secrets(text):
+        if a >= at:
+            out += [text[at:a], f"[{KINDS[kind]}]"]
+            at = b
+    return "".join([*out, text[at:]])
+
+
+def redact_secrets(docs: DataFrame) -> DataFrame:
+    """docs with the secrets of `text` replaced; null stays null."""
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            texts = pa.array([None if t is None else redacted(t) for t in batch.column(at).to_pylist()], pa.string())
+            yield batch.set_column(at, batch.schema.field(at).with_type(pa.string()), texts)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))

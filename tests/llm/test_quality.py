@@ -65,3 +65,10 @@ def test_edge_cases(spark):
     assert M.quality(frame(spark, [])).count() == 0
     assert M.keep_good(frame(spark)).columns == frame(spark).columns
     assert M.text_counts("a b c " * 50_000)[4] == 150_000
+
+
+def test_text_without_boilerplate(spark):
+    docs = [(i, f"{letters(i)} own line\n\nShared  LINE {i}") for i in range(2, 60)] + [(100, None), (101, "")]
+    out = M.without_boilerplate(frame(spark, docs))
+    rows = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert rows[2] == docs[0][1] and rows[3] == "d own line\n" and rows[100] is None and rows[101] == "" and out.columns == frame(spark).columns

@@ -72,3 +72,9 @@ def test_edge_cases(spark):
 def test_long_texts_are_linear():
     for text in ("eyJ" * 100_000, "M" * 300_000, "a-b_" * 100_000, "-----BEGIN PRIVATE KEY-----" * 20_000, "30" * 150_000, "token=" * 50_000):
         M.find_secrets(text)
+
+
+def test_redaction(spark):
+    docs = [(1, "é secret=abcdef12 x " + "a" * 30), (2, None), (3, "none")]
+    rows = {r["doc_id"]: r["text"] for r in M.redact_secrets(frame(spark, docs)).collect()}
+    assert rows == {1: "é [assign] x [hex]", 2: None, 3: "none"}
