@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import table
+from .common import cut, table
 
 GROUP = 1000
 
@@ -40,8 +40,12 @@ def pair_by_first_turn(turns: DataFrame, group: int = GROUP) -> DataFrame:
     first = turns.groupBy("conv_id").agg(F.min(F.struct("turn", "role", "text")).alias("f"))
     keyed = first.select("conv_id", F.col("f.role").alias("role"), F.col("f.text").alias("text"))
     large = keyed.groupBy("role", "text").agg(F.count("*").alias("n")).where(F.col("n") > group)
+    # A table of its own: the join shuffles both sides, so that a hot first turn can be split at run time.
+    large = cut(large)
     parts = F.ceil(F.coalesce("n", F.lit(1)) / F.lit(float(group))).cast("long")
     dealt = keyed.join(large, ["role", "text"], "left").select("conv_id", "role", "text", (F.col("conv_id") % parts).alias("part"))
+    # Dealt by part as well before the window, which would otherwise keep the join's partitions, one for a first turn.
+    dealt = dealt.repartition("role", "text", "part")
     shared, rest = _consecutive(dealt, "role", "text", "part")
     alone, _ = _consecutive(rest.select("conv_id", F.shiftright("conv_id", 6).alias("run")), "run")
     return shared.union(alone)
@@ -85,9 +89,9 @@ def format_pairs(pairs: DataFrame, turns: DataFrame) -> DataFrame:
     same = F.zip_with("c", "r", lambda x, y: x["role"].eqNullSafe(y["role"]) & x["text"].eqNullSafe(y["text"]))
     placed = met.withColumn("same", same).withColumn("n", F.when(F.array_contains("same", False), F.array_position("same", False) - 1).otherwise(F.size("same")).cast("int"))
     rest = lambda side: F.slice(side, F.col("n") + 1, F.greatest(F.size(side) - F.col("n"), F.lit(0)))
-    cut = placed.select("pair", "rejected_id", "n", F.slice("c", F.lit(1), F.col("n")).alias("p"), rest("c").alias("c"), rest("r").alias("r"))
+    parted = placed.select("pair", "rejected_id", "n", F.slice("c", F.lit(1), F.col("n")).alias("p"), rest("c").alias("c"), rest("r").alias("r"))
     answers = lambda side: F.exists(side, lambda t: t["role"] == "assistant")
-    return cut.select(
+    return parted.select(
         F.col("pair").alias("chosen_id"), "rejected_id", F.col("n").cast("long").alias("n_common"), _rendered(F.col("p")).alias("prompt"),
         _rendered(F.col("c")).alias("chosen"), _rendered(F.col("r")).alias("rejected"), _mask(F.col("c")).alias("chosen_mask"),
         _mask(F.col("r")).alias("rejected_mask"), (answers("c") & answers("r") & (_rendered(F.col("c")) != _rendered(F.col("r")))).alias("usable"),
