@@ -27,6 +27,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -67,26 +68,27 @@ class Vocabulary:
         import regex
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            source = f.read()
-        spec = json.loads(source)
-        self.tokenizer = Tokenizer.from_str(source)
+        self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special = {token.content: i for i, token in self.tokenizer.get_added_tokens_decoder().items()}
         self.find_words = regex.compile(WORD_PATTERN).findall
-        self.pre_tokenize = self.tokenizer.pre_tokenizer.pre_tokenize_str
-        # Letters and digits that Unicode took in late may be unknown to the library: texts with them are split by it.
-        everything = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-        late = [c for c in regex.findall(r"[\p{L}\p{N}]", everything) if unicodedata.ucd_3_2_0.category(c)[0] not in "LN"]
-        self.late = frozenset(late)
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else None
+        self.pre_tokenize = self.tokenizer.pre_tokenizer.pre_tokenize_str
         byte_of = byte_alphabet()
-        pieces = {i: bytes(byte_of[c] for c in piece) for piece, i in spec["model"]["vocab"].items()}
+        pieces = {i: bytes(byte_of[c] for c in piece) for piece, i in self.tokenizer.get_vocab(with_added_tokens=False).items()}
         pieces |= {i: s.encode() for s, i in self.special.items()}
         self.pieces = [pieces.get(i, b"") for i in range(max(pieces) + 1)]
         self.decimals = [str(i) for i in range(len(self.pieces))]
 
+    @cached_property
+    def late(self) -> frozenset[str]:
+        """Letters and digits that Unicode took in late may be unknown to the library: texts with them are split by it."""
+        import regex
+
+        everything = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+        return frozenset(c for c in regex.findall(r"[\p{L}\p{N}]", everything) if unicodedata.ucd_3_2_0.category(c)[0] not in "LN")
+
     @classmethod
     def at(cls, path: str) -> Vocabulary:
         if path not in cls._loaded:
