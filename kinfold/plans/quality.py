@@ -278,6 +278,20 @@ def validation_report(spark, sf_dir):
     return report.unionByName(V.check_subset(matches, cands)).unionByName(V.check_targets(matches, "matched_entity_ids", t, "matching"))
 
 
+@query(
+    """WITH l AS (SELECT doc_id + 1 AS number, CASE WHEN doc_id % 10 = 3 THEN 'S1-' || doc_id ELSE 'S1-' || doc_id || chr(9) END AS value FROM documents),
+found(rule, x) AS (SELECT 'header', value FROM l WHERE number = 1 AND contains(value, chr(9))
+  UNION SELECT 'no_tab', value FROM l WHERE number > 1 AND NOT contains(value, chr(9)))
+SELECT rule, 'error' AS severity, count(*) AS n, array_to_string(list_sort(list(x))[1:5], ',') AS examples FROM found GROUP BY rule"""
+)
+def validation_lines(spark, sf_dir):
+    """Findings on the lines of a file with a wrong header and rows without a tab."""
+    row = F.concat(F.lit("S1-"), F.col("doc_id").cast("string"))
+    value = F.when(F.col("doc_id") % 10 == 3, row).otherwise(F.concat(row, F.lit("\t")))
+    lines = A.read_table(spark, sf_dir, "documents").select((F.col("doc_id") + 1).alias("number"), value.alias("value"))
+    return V.check_lines(lines, (S1, "matched_entity_ids"))
+
+
 @query(
     _with(*_BASE, *_BATCH, _BROKEN)
     + """, m AS (SELECT source1_entity_id, max(matched_entity_ids) AS l FROM broken GROUP BY 1),
