@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import release, releasing, table
 
 #: Splits text into words as the vocabulary's byte-level pre-tokenizer does (fixed value).
 WORD_PATTERN = (
@@ -225,6 +225,7 @@ def _place(path: str, buckets: int, full: bool):
     """Joins ids back by position and decodes, for one chunk (or several copies of the same chunk)."""
 
     def run(chunks: pa.Table, dealt: pa.Table) -> pa.Table:
+        release()  # what the chunk before has left
         vocabulary = Vocabulary.at(path)
         rows_of_bucket = {bucket: (ids.split(";"), other) for bucket, ids, other in (_unpack(p.as_py()) for p in dealt.column("payload"))}
         out: dict[str, list] = {name: [] for name in ("doc_id", "ids", "decoded")} if full else {name: [] for name in ("doc_id", "n", "ids", "decoded")}
@@ -270,7 +271,7 @@ def _place(path: str, buckets: int, full: bool):
     return run
 
 
-def encode_decode(docs: DataFrame, path: str, *, full: bool = False, chunk_chars: int = 8_000_000, table_words: int = 2_000_000) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, *, full: bool = False, chunk_chars: int = 6_000_000, table_words: int = 2_000_000) -> DataFrame:
     """Token ids of every whole text and the text decoded from them: digests, or with `full` ids and text themselves.
 
     docs: doc_id, text and any other columns. path: the tokenizer file, at the same place on every executor.
@@ -278,9 +279,9 @@ def encode_decode(docs: DataFrame, path: str, *, full: bool = False, chunk_chars
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    dealt = rows.mapInArrow(_deal(path, chunk_chars, buckets), DEALT_SCHEMA)
-    ids = dealt.repartition(buckets, "bucket").mapInArrow(_word_table(path, table_words), CHUNK_SCHEMA)
-    chunks = rows.mapInArrow(_store(chunk_chars), CHUNK_SCHEMA)
+    dealt = rows.mapInArrow(releasing(_deal(path, chunk_chars, buckets)), DEALT_SCHEMA)
+    ids = dealt.repartition(buckets, "bucket").mapInArrow(releasing(_word_table(path, table_words)), CHUNK_SCHEMA)
+    chunks = rows.mapInArrow(releasing(_store(chunk_chars)), CHUNK_SCHEMA)
     placed = _place(path, buckets, full)
     return chunks.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(placed, FULL_SCHEMA if full else DIGEST_SCHEMA)
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import components, cut, is_empty, table
+from .common import components, cut, is_empty, releasing, table
 
 WIDTH, THRESHOLD = 5, 0.8
 #: A pair at the threshold shares no band with probability (1 - 0.8 ** ROWS) ** BANDS, about 3e-6.
@@ -42,7 +42,7 @@ BANDS, ROWS = 24, 4
 #: Members of a block in exact comparison.
 BLOCK = 512
 #: Words hashed at once.
-BATCH_WORDS = 400_000
+BATCH_WORDS = 150_000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -296,7 +296,7 @@ def links_of(members: DataFrame, bags: DataFrame, threshold: float, block: int)
 def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
     """One row (doc_id, class_id) per row of docs."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    signed = cut(texts.mapInArrow(_sign(bands, rows), SIGNED))
+    signed = cut(texts.mapInArrow(releasing(_sign(bands, rows)), SIGNED))
     full = signed.where("doc_id is not null and n_shingles > 0")
     # A table of its own: joins with it shuffle both sides, so that a hot group of copies can be split at run time.
     reps = cut(full.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")))
@@ -308,7 +308,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int
     labels = None
     if not is_empty(members):
         wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-        bags = cut(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_bags, "id long, bag binary"))
+        bags = cut(texts.join(wanted, "doc_id", "left_semi").mapInArrow(releasing(_bags), "id long, bag binary"))
         labels = links_of(members, bags, threshold, block)
     if labels is not None:
         joined = named.join(labels, named["rep"] == labels["node"], "left")

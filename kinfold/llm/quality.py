@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ID, OWN, SEPARATORS, TEXT_HASH, table
+from .common import ID, OWN, SEPARATORS, TEXT_HASH, releasing, table
 
 MAX_PERCENT, MIN_DOCS, LEFT_PERCENT = 10, 25, 30
 GONE = f"{OWN}gone"
@@ -122,7 +122,7 @@ def _keys() -> dict[str, Column]:
 def quality(docs: DataFrame, *, max_percent: int = MAX_PERCENT, min_docs: int = MIN_DOCS, left_percent: int = LEFT_PERCENT) -> DataFrame:
     """One row per row of docs (doc_id, text, source): the counts, base_failed, removed_words, kept and the keys."""
     keyed = docs.select("doc_id", "text", "source").withColumns(_keys())
-    stats = keyed.select(F.col("doc_id").cast("long"), ID, TEXT_HASH, "text").mapInArrow(_stats, STATS)
+    stats = keyed.select(F.col("doc_id").cast("long"), ID, TEXT_HASH, "text").mapInArrow(releasing(_stats), STATS)
     copies = keyed.groupBy(ID, TEXT_HASH).agg(F.count("*").alias("copies")).where("copies > 1")
     removed = removed_words(keyed, max_percent, min_docs).join(copies, [ID, TEXT_HASH], "left")
     # Each of a document's repeated rows has added its words.
