@@ -8,14 +8,17 @@ both completions hold an assistant turn and differ.
 
 The table has no preferences, so the query pairs conversations that start with the same turn: by conv_id, the first
 is chosen, the second rejected, the third chosen, and so on. A first turn of many conversations is dealt into groups of
-about GROUP conversations (conv_id modulo their number), so no group grows with the data. Conversations that are left
-over (most first turns are unique) are paired in the same way with neighbours in runs of 64 conv_ids; these pairs have an
-empty prompt, and both completions are whole conversations. Pairing moves ids and first turns only; turns then meet by
-pair, a group of two conversations.
+about GROUP conversations (conv_id modulo their number); the odd ones of these groups, one of each at most, are paired
+with each other. Conversations that are left over (most first turns are unique) are paired in the same way with neighbours
+in runs of 64 conv_ids, and the odd ones of the runs with their neighbours in the order of conv_id; these pairs have an
+empty prompt, and both completions are whole conversations. The order is numbered by ranges that are sorted each on its
+own, so no task holds more than a range, and the pairs do not depend on where ranges end. Pairing moves ids and first
+turns only; turns then meet by pair, a group of two conversations.
 
 Defined cases: rows without conv_id are no conversation; a null role counts as user, a null text as empty, a null turn
-comes first; turns of the same number are ordered by role and text, repeated rows count as turns; a conversation left
-over in its run of 64 ids makes no pair; an empty table gives an empty result.
+comes first; turns of the same number are ordered by role and text, repeated rows count as turns; of an odd number of
+conversations one is alone: its row has a null rejected_id, its turns as chosen, and is not usable; an empty table gives
+an empty result. The SQL below stops at the runs: it pairs the odd ones of parts and of runs with nobody.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ def turns_of(conversations: DataFrame) -> DataFrame:
 
 
 def pair_by_first_turn(turns: DataFrame, group: int = GROUP) -> DataFrame:
-    """(chosen_id, rejected_id) of conversations that start with the same turn."""
+    """(chosen_id, rejected_id): each conversation once, with one that starts with the same turn if there is one to spare."""
     first = turns.groupBy("conv_id").agg(F.min(F.struct("turn", "role", "text")).alias("f"))
     keyed = first.select("conv_id", F.col("f.role").alias("role"), F.col("f.text").alias("text"))
     large = keyed.groupBy("role", "text").agg(F.count("*").alias("n")).where(F.col("n") > group)
@@ -46,17 +49,29 @@ def pair_by_first_turn(turns: DataFrame, group: int = GROUP) -> DataFrame:
     dealt = keyed.join(large, ["role", "text"], "left").select("conv_id", "role", "text", (F.col("conv_id") % parts).alias("part"))
     # Dealt by part as well before the window, which would otherwise keep the join's partitions, one for a first turn.
     dealt = dealt.repartition("role", "text", "part")
-    shared, rest = _consecutive(dealt, "role", "text", "part")
-    alone, _ = _consecutive(rest.select("conv_id", F.shiftright("conv_id", 6).alias("run")), "run")
-    return shared.union(alone)
+    shared, odd = _consecutive(dealt, "role", "text", "part")
+    spread, rest = _consecutive(odd, "role", "text")
+    near, last = _consecutive(rest.select("conv_id", F.shiftright("conv_id", 6).alias("run")), "run")
+    return shared.union(spread).union(near).union(_in_order(last.select("conv_id")))
+
+
+def _in_order(ids: DataFrame) -> DataFrame:
+    """Pairs of neighbours in the order of conv_id; the last of an odd number has no partner."""
+    at = F.monotonically_increasing_id()  # number of the range, then 33 bits of the row in it
+    placed = cut(ids.repartitionByRange("conv_id").sortWithinPartitions("conv_id").select("conv_id", F.shiftright(at, 33).alias("range"), at.bitwiseAND(2**33 - 1).alias("row")))
+    sizes = placed.groupBy("range").agg(F.count("*").alias("n"))  # one row per partition
+    before = sizes.select("range", (F.sum("n").over(W.orderBy("range")) - F.col("n")).alias("before"))
+    pair = F.shiftright(F.col("before") + F.col("row"), 1).alias("pair")
+    met = placed.join(F.broadcast(before), "range").groupBy(pair).agg(F.min("conv_id").alias("chosen_id"), F.max("conv_id").alias("last"))
+    return met.select("chosen_id", F.when(F.col("last") > F.col("chosen_id"), F.col("last")).alias("rejected_id"))
 
 
 def _consecutive(ids: DataFrame, *group: str) -> tuple[DataFrame, DataFrame]:
     """Pairs of the first and second, third and fourth, ... conversation of each group, and the ones left over."""
     order = W.partitionBy(*group).orderBy("conv_id")
-    numbered = ids.select("conv_id", F.lead("conv_id").over(order).alias("next"), (F.row_number().over(order) % 2 == 1).alias("odd"))
+    numbered = ids.select("*", F.lead("conv_id").over(order).alias("next"), (F.row_number().over(order) % 2 == 1).alias("odd"))
     pairs = numbered.where("odd and next is not null").select(F.col("conv_id").alias("chosen_id"), F.col("next").alias("rejected_id"))
-    return pairs, numbered.where("odd and next is null").select("conv_id")
+    return pairs, numbered.where("odd and next is null").drop("next", "odd")
 
 
 def _rendered(turns: Column) -> Column:

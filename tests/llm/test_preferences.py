@@ -42,6 +42,24 @@ def test_large_first_turns_are_dealt(spark):
     assert len(used) == len(set(used)) >= 90
 
 
+def test_every_conversation_is_paired(spark):
+    pairs = lambda rows, **b: {(r[0], r[1]) for r in M.pair_by_first_turn(conversations(spark, rows), **b).collect()}
+    assert pairs([(64 * i, 0, "user", f"q{i}") for i in range(7)]) == {(0, 64), (128, 192), (256, 320), (384, None)}
+    ids = [i for k in range(9) for i in (64 * k, 64 * k + 1, 64 * k + 2)]  # runs of three
+    used = [x for p in pairs([(i, 0, "user", f"q{i}") for i in ids]) for x in p]
+    assert sorted(x for x in used if x is not None) == ids and used.count(None) == 1
+    same = pairs([(10 * i, 0, "user", "same") for i in range(10)] + [(i, 0, "user", "same") for i in range(1, 10)] + [(1000, 0, "user", "other")], group=2)
+    assert len(same) == 10 and not any(None in p for p in same)
+    assert sum(1000 in p for p in same) == 1  # all but one of the 19 have a partner of the same first turn
+
+
+def test_a_conversation_alone_has_a_row(spark):
+    turns = conversations(spark, [(5, 0, "user", "q"), (5, 1, "assistant", "a")])
+    row = M.format_pairs(M.pair_by_first_turn(turns), turns).first()
+    assert (row["chosen_id"], row["rejected_id"], row["n_common"], row["usable"]) == (5, None, 0, False)
+    assert row["prompt"] == "" and row["chosen"] == "<|user|>\nq\n<|assistant|>\na\n" and row["rejected"] == row["rejected_mask"] == ""
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_oracle(spark, duck, name):
     same_rows(queries.QUERIES[name](spark, DATA).toPandas(), duck.sql(queries.ORACLE[name]).df())
