@@ -55,6 +55,17 @@ def test_structure_confirms():
     assert M.is_key_container(container) and not M.is_key_container(container[:-1]) and not M.is_key_container(container + b"x")
 
 
+def test_bare_keys_of_any_length_and_after_an_equals_sign():
+    assert kinds(f"private_key={b64(KEY)}") == ["der"]
+    algorithm = lambda *ids: der(0x30, *(der(6, i) for i in ids))
+    p256 = der(0x30, number(0), algorithm(bytes.fromhex("2a8648ce3d0201"), bytes.fromhex("2a8648ce3d030107")), der(4, der(0x30, number(1), der(4, b"\x07" * 32))))
+    ed448 = der(0x30, number(0), algorithm(bytes.fromhex("2b6571")), der(4, der(4, b"\x07" * 57)))
+    sec1 = der(0x30, number(1), der(4, b"\x07" * 32), der(0xA0, der(6, bytes.fromhex("2a8648ce3d030107"))))
+    for key, start in ((p256, "MEECAQAw"), (ed448, "MEcCAQAw"), (sec1, "MDEC")):
+        assert b64(key).startswith(start[:2]), b64(key)
+        assert kinds(f"k {b64(key)} z") == ["der"] and kinds(f"k={b64(key)}") == ["der"]
+
+
 def test_signed_tokens():
     part = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
     token = f"{part({'alg': 'HS256'})}.{part({'sub': 1})}.c2ln"
