@@ -147,6 +147,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents")).drop("id", "th")
 
 
+def op3_quality_absolute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a limit that does not grow with the host: every line in at least MIN_DOCS of its documents."""
+    return quality(table(spark, sf_dir, "documents"), max_percent=0).drop("id", "th")
+
+
 #: The same rows in DuckDB's SQL.
 ORACLE_SQL = rf"""
 WITH d AS (
@@ -183,3 +188,6 @@ frequent AS (
 ), based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
 SELECT *, NOT base_failed AND NOT (100 * (n_words - removed_words) < {LEFT_PERCENT} * n_words) AS kept FROM based
 """
+
+#: The rows of op3_quality_absolute.
+ABSOLUTE_SQL = ORACLE_SQL.replace(f" AND 100 * count(DISTINCT text) > {MAX_PERCENT} * n_docs", "")

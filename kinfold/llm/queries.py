@@ -13,7 +13,7 @@ from .line_dedup import op2_line_dedup
 from .near_dedup import op8_bagminhash
 from .pii import op6_pii
 from .preferences import op7_preferences
-from .quality import op3_quality
+from .quality import op3_quality, op3_quality_absolute
 from .secrets import op1_secrets
 
 QUERIES = {
@@ -28,12 +28,14 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_licenses": op10_licenses,
     "pipeline": corpus_pipeline.run,
+    "op3_quality_absolute": op3_quality_absolute,
 }
 
 #: DuckDB SQL by query. The others are iterative, model-based or need a tokenizer; tests hold them against brute force.
 ORACLE: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE_SQL,
     "op3_quality": quality.ORACLE_SQL,
+    "op3_quality_absolute": quality.ABSOLUTE_SQL,
     "op5_decontaminate": decontaminate.ORACLE_SQL,
     "op7_preferences": preferences.ORACLE_SQL,
     "op10_licenses": licenses.ORACLE_SQL,

@@ -1,6 +1,7 @@
 import random
 
 from kinfold.llm import quality as M
+from kinfold.llm import queries
 
 from .helpers import frame
 
@@ -53,6 +54,16 @@ def test_rare_lines_stay(spark):
     assert all(r["kept"] and r["removed_words"] == 0 for r in M.quality(frame(spark, docs)).collect())
 
 
+def test_an_absolute_limit_does_not_grow_with_the_host(spark, tmp_path):
+    body = lambda i: " ".join(f"w{letters(i)}x{letters(k)}" for k in range(60))
+    common = " ".join(f"c{letters(k)}" for k in range(300))
+    docs = [(i, f"{body(i)}\n{common}" if i < 40 else body(i)) for i in range(500)]  # 8 % of the host
+    frame(spark, docs).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = {r["doc_id"]: r for r in queries.QUERIES["op3_quality_absolute"](spark, str(tmp_path)).collect()}
+    assert {i for i, r in rows.items() if r["removed_words"] == 300 and not r["kept"]} == set(range(2, 40))
+    assert all(rows[i]["kept"] for i in range(500) if i not in range(2, 40))
+
+
 def test_copies_are_one_document(spark):
     text = " ".join(f"u{k}" for k in range(80))
     rows = M.quality(frame(spark, [(i, text) for i in range(100)])).collect()
