@@ -10,8 +10,10 @@ that a third of all documents share costs one row per task. Only repeated hashes
 back to the windows; that join is a plain equi-join, which adaptive execution splits when a hash is hot. Removed line
 numbers are gathered per document, and texts meet them in one join on the document's key.
 
-Defined cases: null text stays null; empty text and texts of fewer than three lines have no window and stay as they are;
-rows that repeat the same doc_id and text are one document and get the same result; the order puts null doc_ids first;
+With `short`, the lines of a text that has fewer than three are one window, compared with such texts of as many lines.
+
+Defined cases: null text stays null; empty text and texts of fewer than three lines have no window and stay as they are
+(texts of one or two lines only without `short`); rows that repeat the same doc_id and text are one document and get the same result; the order puts null doc_ids first;
 columns of the input are returned under their names, with `text` replaced; an empty table gives an empty result.
 """
 
@@ -32,20 +34,22 @@ def lines(parts: Column) -> Column:
     return F.transform(F.filter(every, lambda x: x["w"] != ""), lambda x: F.struct(x["i"].alias("i"), F.xxhash64(x["w"]).alias("h")))
 
 
-def repeated_lines(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
+def repeated_lines(keyed: DataFrame, window: int = WINDOW, short: bool = False) -> DataFrame:
     """(key, text hash, drop): for each document with removed lines the numbers of these."""
     parts = keyed.select(ID, TEXT_HASH, F.split("text", "\n").alias("parts"))
     split = parts.select(ID, TEXT_HASH, F.size("parts").alias("n"), lines(F.col("parts")).alias("l"))
-    starts = F.sequence(F.lit(0), F.size("l") - window)
+    starts = F.sequence(F.lit(0), F.greatest(F.size("l") - window, F.lit(0)))
+    run = lambda s, n: F.xxhash64(*(F.get("l", s + k)["h"] for k in range(n)))
+    hashes = lambda s: F.coalesce(*(F.when(F.size("l") == n, run(s, n)) for n in range(1, window) if short), run(s, window))
     at = F.transform(
         starts,
         lambda s: F.struct(
-            F.xxhash64(*(F.get("l", s + k)["h"] for k in range(window))).alias("h"),
+            hashes(s).alias("h"),
             F.get("l", s)["i"].alias("from"),
             F.coalesce(F.get("l", s + window)["i"], F.col("n")).alias("to"),
         ),
     )
-    windows = split.where(F.size("l") >= window).select(ID, TEXT_HASH, F.explode_outer(at).alias("w")).select(
+    windows = split.where(F.size("l") >= (1 if short else window)).select(ID, TEXT_HASH, F.explode_outer(at).alias("w")).select(
         "w.h", "w.to", F.struct(F.col(ID), F.col(TEXT_HASH), F.col("w.from")).alias("place")
     )
     firsts = windows.groupBy("h").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
@@ -56,11 +60,11 @@ def repeated_lines(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
     return covered.groupBy(ID, TEXT_HASH).agg(F.collect_set(LINE).alias(DROP))
 
 
-def with_removed(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def with_removed(docs: DataFrame, window: int = WINDOW, short: bool = False) -> DataFrame:
     """docs with the document keys, the lines, and the numbers of the lines to remove (null where there are none)."""
     keys = {ID: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), TEXT_HASH: F.xxhash64(F.coalesce("text", F.lit("")))}
     keyed = docs.withColumns(keys)
-    removed = repeated_lines(keyed.select(ID, TEXT_HASH, "text"), window)
+    removed = repeated_lines(keyed.select(ID, TEXT_HASH, "text"), window, short)
     return keyed.join(removed.hint("shuffle_hash"), [ID, TEXT_HASH], "left").withColumn(PARTS, F.split("text", "\n"))
 
 
@@ -70,12 +74,12 @@ def kept_text() -> Column:
     return F.when(F.col(DROP).isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(PARTS, i)), "\n"))
 
 
-def drop_repeated_lines(docs: DataFrame, window: int = WINDOW, drop_emptied: bool = False) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, window: int = WINDOW, drop_emptied: bool = False, short: bool = False) -> DataFrame:
     """docs with `text` freed of the lines that later occurrences of repeated windows cover; n_chars, if there, follows.
 
     With drop_emptied, documents of which no line with a word is left go; others are never dropped.
     """
-    out = with_removed(docs, window).withColumn("text", kept_text())
+    out = with_removed(docs, window, short).withColumn("text", kept_text())
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col(DROP).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     if drop_emptied:
@@ -85,7 +89,15 @@ def drop_repeated_lines(docs: DataFrame, window: int = WINDOW, drop_emptied: boo
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the lines before and removed, and the text that is left."""
-    out = with_removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return _counted(with_removed(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op2_line_dedup_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with texts of one or two lines compared too."""
+    return _counted(with_removed(table(spark, sf_dir, "documents").select("doc_id", "text"), short=True))
+
+
+def _counted(out: DataFrame) -> DataFrame:
     return out.select(
         "doc_id",
         F.when(F.col("text").isNull(), 0).otherwise(F.size(PARTS)).cast("long").alias("n_lines"),
@@ -122,3 +134,10 @@ SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS
        CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
+
+#: The rows of op2_line_dedup_short.
+SHORT_SQL = ORACLE_SQL.replace(
+    "), ranked AS (",
+    """  UNION ALL SELECT doc_id, 1, string_agg(w, chr(10) ORDER BY k), min(i), max(i), NULL FROM numbered GROUP BY doc_id HAVING count(*) < 3
+), ranked AS (""",
+)

@@ -9,7 +9,7 @@ from .bpe import op9_bpe
 from .decontaminate import op5_decontaminate
 from .language import op4_language
 from .licenses import op10_licenses
-from .line_dedup import op2_line_dedup
+from .line_dedup import op2_line_dedup, op2_line_dedup_short
 from .near_dedup import op8_bagminhash
 from .pii import op6_pii
 from .preferences import op7_preferences
@@ -28,6 +28,7 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_licenses": op10_licenses,
     "pipeline": corpus_pipeline.run,
+    "op2_line_dedup_short": op2_line_dedup_short,
     "op3_quality_absolute": op3_quality_absolute,
 }
 
@@ -35,6 +36,7 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE_SQL,
     "op3_quality": quality.ORACLE_SQL,
+    "op2_line_dedup_short": line_dedup.SHORT_SQL,
     "op3_quality_absolute": quality.ABSOLUTE_SQL,
     "op5_decontaminate": decontaminate.ORACLE_SQL,
     "op7_preferences": preferences.ORACLE_SQL,

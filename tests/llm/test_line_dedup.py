@@ -32,6 +32,13 @@ def test_against_brute_force(spark):
     assert any(want[d] != d[1] for d in docs)
 
 
+def test_short_texts_are_one_window(spark):
+    docs = [(1, "a b"), (2, "a  b\n"), (3, "a b\nc"), (4, "\na b\n\nc"), (5, "c"), (6, "a b\nc\nd"), (7, "a b\nc"), (8, ""), (9, " "), (10, None)]
+    got = {r["doc_id"]: r["text"] for r in M.drop_repeated_lines(frame(spark, docs), short=True).collect()}
+    assert got == {**dict(docs), 2: "", 4: "", 7: ""}
+    assert {r["doc_id"]: r["text"] for r in M.drop_repeated_lines(frame(spark, docs)).collect()} == dict(docs)
+
+
 def test_edge_cases(spark):
     out = M.drop_repeated_lines(frame(spark))
     assert out.columns == frame(spark).columns and out.count() == 10
