@@ -400,6 +400,13 @@ def block_fallback(spark, sf_dir):
     return B.fallback(q, B.block(q, t, B.non_empty("name_n"), B.non_empty("name_n"), 10, "exact_name"), t)
 
 
+@query(_with(*_BASE, Q.block("e", "nullif(name_n, '')", "nullif(name_n, '')", 10, "exact_name"), Q.fallback("fall", "e", 2, 100, 500)) + f"SELECT {Q.BLOCK} FROM fall")
+def block_fallback_all(spark, sf_dir):
+    """Anchors for reference records whose exact name finds nothing among all targets."""
+    q, t = sides(spark, sf_dir, settle=True)
+    return B.fallback(q, B.block(q, t, B.non_empty("name_n"), B.non_empty("name_n"), 10, "exact_name"), t)
+
+
 # --- features, labels, training pairs ----------------------------------------------------------------------------------------------
 
 _AB = "{of} JOIN q a ON a.entity_id = s1 JOIN t b ON b.entity_id = cid"

@@ -25,3 +25,8 @@ def test_entry(spark):
 
 def test_every_oracle_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_fallback_takes_anchors_from_all_targets(spark):
+    found = {r["ord"] % 7 for r in registry.QUERIES["block_fallback_all"](spark, DATA).select("ord").collect()}
+    assert found == set(range(7))
