@@ -25,10 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, written once to the shared checkpoint folder, so that no later failure recomputes them.
 
-    The folder is the cluster's spark.checkpoint.dir; only where that is unset (tests, one machine) a temporary one is made.
+    The folder is the cluster's spark.checkpoint.dir; only where that is unset on a local master (tests) a temporary one is made.
     """
     context = df.sparkSession.sparkContext
     if not context.getConf().get("spark.checkpoint.dir") and context._jsc.sc().getCheckpointDir().isEmpty():
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="kinfold-checkpoint-"))
     return df.checkpoint()
 
@@ -54,6 +56,18 @@ def releasing(run):
     return wrapped
 
 
+def text_key(text: str | Column = "text") -> Column:
+    """128 bits that stand for a text; null counts as empty. At 10^12 texts a collision has a chance of 10^-15."""
+    c = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+    return F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit(1), c).alias("b"))
+
+
+def small(df: DataFrame, limit: int, row_bytes: Column | int) -> DataFrame:
+    """df, marked for broadcast if its rows, of `row_bytes` each, take at most `limit` bytes."""
+    size = df.agg(F.coalesce(F.sum(row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes)), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= limit else df
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 
