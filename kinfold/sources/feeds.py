@@ -16,7 +16,11 @@ PROVENANCE = "array<struct<target_id:string,block_type:string,blocking_key:strin
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share; it is deleted when the application ends."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="kinfold-")
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="kinfold-")
     folder = f"{shared}/{name}-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
