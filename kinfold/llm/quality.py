@@ -2,19 +2,21 @@
 
 Method. Lines are normalised (lower case, runs of white space one space, digits one sign) and hashed. For each host (the
 `source` column) and line hash the distinct documents are counted; documents of equal text count once, so copying a
-document does not make its lines boilerplate. A line found in more than `max_percent` percent of its host's documents, and in
-at least `min_docs` of them, is boilerplate: it is removed from every document of the host except the first (by doc_id)
-that has it, so no line vanishes altogether. A document is rejected as depleted if less than `left_percent` percent of its
-words remain. A document is kept if it passes the base rules and is not depleted.
+document does not make its lines boilerplate. A line is boilerplate in its host if at least `max_docs` documents hold it,
+whatever the host's size, or, in a small host, at least `min_docs` of them that are more than `max_percent` percent. It is
+removed from every document of the host except the first (by doc_id, then text) that has it, so no line vanishes
+altogether. A document is rejected as depleted if less than `left_percent` percent of its words remain. A document is kept
+if it passes the base rules and is not depleted.
 
 Plan. The per-text counts are one pass without a shuffle. Line hashes leave the scan once per document and line, are
 combined before the shuffle, first by (host, line, text), then by (host, line): a line that a third of all documents
-share is one row per task. Boilerplate lines, at most 100 / max_percent lines per host and line of a document, are joined to
-the lines again (adaptive execution broadcasts them only below its size threshold) and only documents that have some
-are gathered.
+share is one row per task. Boilerplate lines are joined to the lines again (adaptive execution broadcasts them only below
+its size threshold, and splits a hot line) and only documents that have some are gathered.
 
-Defined cases: null text has no words: all counts 0, base_failed true; a null source is a host of its own; rows of the
-same doc_id and text are one document with the same result on each row; an empty table gives an empty result.
+Defined cases: null text has no words: all counts 0, base_failed true; a null source is a host of its own; a null doc_id
+comes first; rows of the same doc_id, text and source are one document with the same result on each row, rows that differ
+in one of these are documents of their own; very long texts are one row's work, linear but for sorting; other columns,
+whatever their names, are passed through by keep_good and without_boilerplate; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,11 +28,12 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ID, OWN, SEPARATORS, TEXT_HASH, releasing, table
+from .common import OWN, SEPARATORS, cut, releasing, table, text_key
 
-MAX_PERCENT, MIN_DOCS, LEFT_PERCENT = 10, 25, 30
-GONE = f"{OWN}gone"
-STATS = "doc_id long, id long, th long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+MAX_DOCS, MIN_DOCS, MAX_PERCENT, LEFT_PERCENT = 25, 5, 50, 50
+KEY, GONE, REMOVED = f"{OWN}key", f"{OWN}gone", f"{OWN}removed"
+STATS = f"doc_id long, {KEY} struct<id:long,text:struct<a:long,b:long>,host:string>, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+NAMES = ("doc_id", KEY, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SYMBOLS = regex.compile(r"[#*$%&|<>]")
 
 
@@ -71,9 +74,9 @@ def _odd(text: str) -> bool:
 
 def _stats(batches):
     for batch in batches:
-        counts = [text_counts(t.as_py()) for t in batch.column(3)]
+        counts = [text_counts(t.as_py()) for t in batch.column(2)]
         columns = [pa.array(c, pa.int64()) for c in zip(*counts, strict=True)] or [pa.array([], pa.int64())] * 5
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *columns], names=[f.split()[0] for f in STATS.split(", ")])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=list(NAMES))
 
 
 def normal(line: Column) -> Column:
@@ -89,67 +92,74 @@ def line_hashes(text: Column) -> Column:
     )
 
 
-def boilerplate(keyed: DataFrame, max_percent: int, min_docs: int) -> DataFrame:
-    """(id, th, h, w): the lines of boilerplate, by document, with their words; the first document that has one keeps it."""
-    host = F.coalesce(F.concat(F.lit("h"), F.col("source").cast("string")), F.lit("")).alias("host")
-    each = keyed.select(ID, TEXT_HASH, host, F.explode_outer(line_hashes(F.col("text"))).alias("l"))
-    rows = each.where("l is not null").select(ID, TEXT_HASH, "host", F.col("l.h").alias("h"), F.col("l.w").alias("w"))
-    n_docs = keyed.select(host, TEXT_HASH).distinct().groupBy("host").agg(F.count("*").alias("n_docs"))
-    texts = rows.groupBy("host", "h", TEXT_HASH).agg(F.min(ID).alias("first"))
-    lines = texts.groupBy("host", "h").agg(F.count("*").alias("n"), F.min("first").alias("first")).where(F.col("n") >= min_docs)
-    frequent = lines.join(n_docs, "host").where(100 * F.col("n") > max_percent * F.col("n_docs")).select("host", "h", "first")
-    return rows.join(frequent, ["host", "h"]).where(F.col(ID) > F.col("first")).select(ID, TEXT_HASH, "h", "w")
+def key() -> Column:
+    """What makes a document: id, text and host; a null source is a host of its own."""
+    host = F.coalesce(F.concat(F.lit("h"), F.col("source").cast("string")), F.lit(""))
+    return F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("id"), text_key().alias("text"), host.alias("host"))
 
 
-def removed_words(keyed: DataFrame, max_percent: int, min_docs: int) -> DataFrame:
-    """(id, th, removed): words of boilerplate lines, for documents that have some."""
-    return boilerplate(keyed, max_percent, min_docs).groupBy(ID, TEXT_HASH).agg(F.sum("w").alias("removed"))
+def boilerplate(keyed: DataFrame, max_docs: int, min_docs: int, max_percent: int) -> DataFrame:
+    """(key, h, w): the lines of boilerplate with their words, one row per line of a row that loses it."""
+    each = keyed.select(KEY, F.explode_outer(line_hashes(F.col("text"))).alias("l")).where("l is not null")
+    rows = each.select(KEY, F.col(f"{KEY}.host").alias("host"), F.col("l.h").alias("h"), F.col("l.w").alias("w"))
+    n_docs = keyed.select(f"{KEY}.host", f"{KEY}.text").distinct().groupBy("host").agg(F.count("*").alias("n_docs"))
+    place = F.struct(f"{KEY}.id", f"{KEY}.text")
+    texts = rows.groupBy("host", "h", F.col(f"{KEY}.text").alias("text")).agg(F.min(place).alias("first"))
+    lines = texts.groupBy("host", "h").agg(F.count("*").alias("n"), F.min("first").alias("first")).where(F.col("n") >= min(min_docs, max_docs))
+    often = (F.col("n") >= max_docs) | ((F.col("n") >= min_docs) & (100 * F.col("n") > max_percent * F.col("n_docs")))
+    frequent = lines.join(n_docs, "host").where(often).select("host", "h", "first")
+    return rows.join(frequent, ["host", "h"]).where(place > F.col("first")).select(KEY, "h", "w")
 
 
-def without_boilerplate(docs: DataFrame, *, max_percent: int = MAX_PERCENT, min_docs: int = MIN_DOCS) -> DataFrame:
-    """docs with `text` freed of boilerplate lines; documents without any are unchanged, null stays null."""
-    keyed = docs.withColumns(_keys())
-    gone = boilerplate(keyed.select(ID, TEXT_HASH, "text", "source"), max_percent, min_docs).groupBy(ID, TEXT_HASH).agg(F.collect_set("h").alias(GONE))
+def losses(keyed: DataFrame, max_docs: int, min_docs: int, max_percent: int) -> DataFrame:
+    """(key, removed, gone): words and hashes of the boilerplate lines, for documents that have some."""
+    lost = boilerplate(keyed, max_docs, min_docs, max_percent).groupBy(KEY).agg(F.sum("w").alias(REMOVED), F.collect_set("h").alias(GONE))
+    copies = keyed.groupBy(KEY).agg(F.count("*").alias("copies")).where("copies > 1")
+    # Each of a document's repeated rows has added its words.
+    return lost.join(copies, KEY, "left").select(KEY, (F.col(REMOVED) / F.coalesce("copies", F.lit(1))).cast("long").alias(REMOVED), GONE)
+
+
+def _left(docs: DataFrame) -> DataFrame:
+    """docs (with GONE) with the lines of GONE taken out of `text`; n_chars, if there, follows."""
     left = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(GONE, F.xxhash64(normal(x))))
-    text = F.when(F.col(GONE).isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    return keyed.join(gone.hint("shuffle_hash"), [ID, TEXT_HASH], "left").withColumn("text", text).select(*docs.columns)
+    out = docs.withColumn("text", F.when(F.col(GONE).isNull(), F.col("text")).otherwise(F.array_join(left, "\n")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col(GONE).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return out
 
 
-def _keys() -> dict[str, Column]:
-    return {ID: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), TEXT_HASH: F.xxhash64(F.coalesce("text", F.lit("")))}
+def without_boilerplate(docs: DataFrame, *, max_docs: int = MAX_DOCS, min_docs: int = MIN_DOCS, max_percent: int = MAX_PERCENT) -> DataFrame:
+    """docs with `text` freed of boilerplate lines; documents without any are unchanged, null stays null."""
+    keyed = docs.withColumn(KEY, key())
+    lost = losses(keyed.select(KEY, "text"), max_docs, min_docs, max_percent)
+    return _left(keyed.join(lost.hint("shuffle_hash"), KEY, "left")).select(*docs.columns)
 
 
-def quality(docs: DataFrame, *, max_percent: int = MAX_PERCENT, min_docs: int = MIN_DOCS, left_percent: int = LEFT_PERCENT) -> DataFrame:
-    """One row per row of docs (doc_id, text, source): the counts, base_failed, removed_words, kept and the keys."""
-    keyed = docs.select("doc_id", "text", "source").withColumns(_keys())
-    stats = keyed.select(F.col("doc_id").cast("long"), ID, TEXT_HASH, "text").mapInArrow(releasing(_stats), STATS)
-    copies = keyed.groupBy(ID, TEXT_HASH).agg(F.count("*").alias("copies")).where("copies > 1")
-    removed = removed_words(keyed, max_percent, min_docs).join(copies, [ID, TEXT_HASH], "left")
-    # Each of a document's repeated rows has added its words.
-    share = (F.col("removed") / F.coalesce("copies", F.lit(1))).cast("long").alias("removed")
-    removed = removed.select(F.col(ID).alias("id"), F.col(TEXT_HASH).alias("th"), share)
-    joined = stats.join(removed, ["id", "th"], "left").withColumn("removed_words", F.coalesce("removed", F.lit(0)))
+def _judged(keyed: DataFrame, lost: DataFrame, left_percent: int) -> DataFrame:
+    stats = keyed.select(F.col("doc_id").cast("long"), KEY, "text").mapInArrow(releasing(_stats), STATS)
+    joined = stats.join(lost.select(KEY, REMOVED), KEY, "left").withColumn("removed_words", F.coalesce(REMOVED, F.lit(0)))
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     depleted = 100 * (F.col("n_words") - F.col("removed_words")) < left_percent * F.col("n_words")
-    return joined.select(
-        "doc_id", "id", "th", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "removed_words",
-        base.alias("base_failed"), (~base & ~depleted).alias("kept"),
-    )
+    return joined.select(KEY, *(c for c in NAMES if c != KEY), "removed_words", base.alias("base_failed"), (~base & ~depleted).alias("kept"))
 
 
-def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The documents that the quality rules keep, unchanged."""
-    good = quality(docs, **options).where("kept").select(F.col("id").alias(ID), F.col("th").alias(TEXT_HASH))
-    return docs.withColumns(_keys()).join(good.distinct(), [ID, TEXT_HASH], "left_semi").select(*docs.columns)
+def quality(docs: DataFrame, *, max_docs: int = MAX_DOCS, min_docs: int = MIN_DOCS, max_percent: int = MAX_PERCENT, left_percent: int = LEFT_PERCENT) -> DataFrame:
+    """One row per row of docs (doc_id, text, source): the counts, removed_words, base_failed and kept."""
+    keyed = docs.select("doc_id", "text", "source").withColumn(KEY, key())
+    return _judged(keyed, losses(keyed.select(KEY, "text"), max_docs, min_docs, max_percent), left_percent).drop(KEY)
 
 
-def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(table(spark, sf_dir, "documents")).drop("id", "th")
+def keep_good(docs: DataFrame, *, max_docs: int = MAX_DOCS, min_docs: int = MIN_DOCS, max_percent: int = MAX_PERCENT, left_percent: int = LEFT_PERCENT) -> DataFrame:
+    """The documents that the quality rules keep, their text freed of boilerplate lines; the losses are written once."""
+    keyed = docs.withColumn(KEY, key())
+    narrow = keyed.select("doc_id", "text", KEY)
+    lost = cut(losses(narrow.select(KEY, "text"), max_docs, min_docs, max_percent))
+    good = _judged(narrow, lost, left_percent).where("kept").select(KEY).distinct()
+    return _left(keyed.join(good, KEY, "left_semi").join(lost.select(KEY, GONE), KEY, "left")).select(*docs.columns)
 
 
-def op3_quality_absolute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with a limit that does not grow with the host: every line in at least MIN_DOCS of its documents."""
-    return quality(table(spark, sf_dir, "documents"), max_percent=0).drop("id", "th")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"))
 
 
 #: The same rows in DuckDB's SQL.
@@ -176,7 +186,7 @@ WITH d AS (
 hosts AS (SELECT host, count(DISTINCT text) AS n_docs FROM d GROUP BY host),
 frequent AS (
   SELECT host, l, min(doc_id) AS first FROM worded JOIN hosts USING (host)
-  GROUP BY host, l, n_docs HAVING count(DISTINCT text) >= {MIN_DOCS} AND 100 * count(DISTINCT text) > {MAX_PERCENT} * n_docs
+  GROUP BY host, l, n_docs HAVING count(DISTINCT text) >= {MAX_DOCS} OR count(DISTINCT text) >= {MIN_DOCS} AND 100 * count(DISTINCT text) > {MAX_PERCENT} * n_docs
 ), gone AS (
   SELECT w.doc_id, sum(lw) AS removed FROM worded w JOIN frequent f ON f.host = w.host AND f.l = w.l AND w.doc_id > f.first GROUP BY w.doc_id
 ), counted AS (
@@ -188,6 +198,3 @@ frequent AS (
 ), based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
 SELECT *, NOT base_failed AND NOT (100 * (n_words - removed_words) < {LEFT_PERCENT} * n_words) AS kept FROM based
 """
-
-#: The rows of op3_quality_absolute.
-ABSOLUTE_SQL = ORACLE_SQL.replace(f" AND 100 * count(DISTINCT text) > {MAX_PERCENT} * n_docs", "")

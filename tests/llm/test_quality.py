@@ -1,7 +1,6 @@
 import random
 
 from kinfold.llm import quality as M
-from kinfold.llm import queries
 
 from .helpers import frame
 
@@ -48,20 +47,34 @@ def test_boilerplate_and_depletion(spark):
     assert all(rows[i]["kept"] and rows[i]["removed_words"] == 0 for i in range(32, 60))
 
 
-def test_rare_lines_stay(spark):
+def test_limits(spark):
     common = " ".join(f"c{letters(k)}" for k in range(300))
-    docs = [(i, f"{letters(i)} own line\n{common}") for i in range(2, 2 + M.MIN_DOCS - 1)]
-    assert all(r["kept"] and r["removed_words"] == 0 for r in M.quality(frame(spark, docs)).collect())
-
-
-def test_an_absolute_limit_does_not_grow_with_the_host(spark, tmp_path):
-    body = lambda i: " ".join(f"w{letters(i)}x{letters(k)}" for k in range(60))
-    common = " ".join(f"c{letters(k)}" for k in range(300))
-    docs = [(i, f"{body(i)}\n{common}" if i < 40 else body(i)) for i in range(500)]  # 8 % of the host
-    frame(spark, docs).write.parquet(str(tmp_path / "documents.parquet"))
-    rows = {r["doc_id"]: r for r in queries.QUERIES["op3_quality_absolute"](spark, str(tmp_path)).collect()}
-    assert {i for i, r in rows.items() if r["removed_words"] == 300 and not r["kept"]} == set(range(2, 40))
-    assert all(rows[i]["kept"] for i in range(500) if i not in range(2, 40))
+    host = lambda n, shared: [(i, f"{letters(i)} own line" + (f"\n{common}" if i < 2 + shared else "")) for i in range(2, 2 + n)]
+    removed = lambda docs: sum(r["removed_words"] > 0 for r in M.quality(frame(spark, docs)).collect())
+    assert removed(host(100, M.MAX_DOCS - 1)) == 0 and removed(host(100, M.MAX_DOCS)) == M.MAX_DOCS - 1
+    assert removed(host(500, 30)) == 29  # 6 % of the host: the limit does not grow with it
+    assert removed(host(8, M.MIN_DOCS)) == M.MIN_DOCS - 1 and removed(host(10, M.MIN_DOCS)) == 0 and removed(host(4, 4)) == 0
+
+
+def test_documents_without_or_with_shared_ids(spark):
+    foot = "terms and conditions of this site\n"
+    texts = [f"{foot}{letters(i)} own words" for i in range(60)]
+    lost = lambda rows: sorted(r["removed_words"] for r in M.quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect())
+    want = [0] + [6] * 59
+    assert lost([(i, t, "s") for i, t in enumerate(texts)]) == lost([(None, t, "s") for t in texts]) == lost([(7, t, "s") for t in texts]) == want
+    # The same id and text in two hosts are two documents.
+    two = [(i, t, "s") for i, t in enumerate(texts)] + [(5, texts[5], "other")]
+    assert lost(two) == [0, *want]
+    assert lost([(i, t, "s") for i, t in enumerate(texts)] + [(5, texts[5], "s")] * 2) == want + [6, 6]
+
+
+def test_depleted_documents_go_and_the_others_lose_their_lines(spark):
+    common = " ".join(f"c{letters(k)}" for k in range(70))
+    body = lambda i, n: " ".join(f"w{letters(i)}x{letters(k)}" for k in range(n))
+    docs = [(i, f"{body(i, 60 if i % 2 else 80)}\n{common}") for i in range(2, 60)] + [(100, body(100, 60)), (101, None)]
+    rows = {r["doc_id"]: r for r in M.keep_good(frame(spark, docs)).collect()}
+    assert set(rows) == {2, 100} | set(range(4, 60, 2)) and M.keep_good(frame(spark, docs)).columns == frame(spark).columns
+    assert rows[2]["text"] == docs[0][1] and all(rows[i]["text"] == body(i, 80) and rows[i]["n_chars"] == len(body(i, 80)) for i in range(4, 60, 2))
 
 
 def test_copies_are_one_document(spark):
