@@ -1,20 +1,23 @@
 """Line deduplication over overlapping windows of three lines.
 
 A document's lines are its newline-separated pieces that hold a word, compared by their words (runs of white space count
-as one space). Every run of three consecutive lines is a window. Windows are compared over all documents; the first
-occurrence of a window, by (doc_id, line), stays, and every line that any later occurrence covers is removed, so
-overlapping repeats merge. Lines without a word are never compared; one stays if the line before it stays.
+as one space). Every run of three consecutive lines is a window; the lines of a text that has only one or two are one
+shorter window, compared with such texts of as many lines. Windows are compared over all documents; the first
+occurrence of a window, by (doc_id, text, line), stays, and every line that any later occurrence covers is removed, so
+overlapping repeats merge. A first occurrence can lose lines all the same, where a later occurrence of another window covers
+them: of the lines A B A B A B only A B are left. Lines without a word are never compared; one stays if the line before it
+stays. Repeated passages of one or two lines between other lines are in no repeated window and stay.
 
 Plan: windows leave the scan as (hash, document, line) only. Counting a hash combines before the shuffle, so a window
 that a third of all documents share costs one row per task. Only repeated hashes, with their first place, are joined
 back to the windows; that join is a plain equi-join, which adaptive execution splits when a hash is hot. Removed line
-numbers are gathered per document, and texts meet them in one join on the document's key.
+numbers are gathered per document, and texts meet them in one join on the document's key. Hashes have 128 bits, so that
+among 10^12 windows two different ones meet with a chance of 10^-15; documents are told apart by id and a hash as long.
 
-With `short`, the lines of a text that has fewer than three are one window, compared with such texts of as many lines.
-
-Defined cases: null text stays null; empty text and texts of fewer than three lines have no window and stay as they are
-(texts of one or two lines only without `short`); rows that repeat the same doc_id and text are one document and get the same result; the order puts null doc_ids first;
-columns of the input are returned under their names, with `text` replaced; an empty table gives an empty result.
+Defined cases: null text stays null; empty text has no window and stays as it is; a very long text is linear work of one
+task; rows that repeat the same doc_id and text are one document and get the same result; the order puts null doc_ids
+first; columns of the input, whatever their names, are returned as they are, with `text` replaced; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -22,49 +25,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ID, OWN, SEPARATORS, TEXT_HASH, cut, table
+from .common import ID, OWN, SEPARATORS, TEXT_HASH, cut, table, text_key
 
 WINDOW = 3
 DROP, PARTS, LINE = f"{OWN}drop", f"{OWN}parts", f"{OWN}line"
 
 
 def lines(parts: Column) -> Column:
-    """(from, to, hash) of the lines that hold a word: their number, the next such line's number, the hash of their words."""
+    """(i, g, h) of the lines that hold a word: their number, and two hashes of their words."""
     every = F.transform(parts, lambda line, i: F.struct(i.alias("i"), F.trim(F.regexp_replace(line, SEPARATORS, " ")).alias("w")))
-    return F.transform(F.filter(every, lambda x: x["w"] != ""), lambda x: F.struct(x["i"].alias("i"), F.xxhash64(x["w"]).alias("h")))
+    hashes = lambda x: F.struct(x["i"].alias("i"), F.xxhash64(x["w"]).alias("g"), F.xxhash64(F.lit(1), x["w"]).alias("h"))
+    return F.transform(F.filter(every, lambda x: x["w"] != ""), hashes)
 
 
-def repeated_lines(keyed: DataFrame, window: int = WINDOW, short: bool = False) -> DataFrame:
-    """(key, text hash, drop): for each document with removed lines the numbers of these."""
+def repeated_lines(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(key, text key, drop): for each document with removed lines the numbers of these."""
     parts = keyed.select(ID, TEXT_HASH, F.split("text", "\n").alias("parts"))
     split = parts.select(ID, TEXT_HASH, F.size("parts").alias("n"), lines(F.col("parts")).alias("l"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("l") - window, F.lit(0)))
-    run = lambda s, n: F.xxhash64(*(F.get("l", s + k)["h"] for k in range(n)))
-    hashes = lambda s: F.coalesce(*(F.when(F.size("l") == n, run(s, n)) for n in range(1, window) if short), run(s, window))
+
+    def hashed(s: Column, field: str) -> Column:
+        run = lambda n: F.xxhash64(*(F.get("l", s + k)[field] for k in range(n)))
+        return F.coalesce(*(F.when(F.size("l") == n, run(n)) for n in range(1, window)), run(window))
+
     at = F.transform(
         starts,
         lambda s: F.struct(
-            hashes(s).alias("h"),
+            hashed(s, "g").alias("g"),
+            hashed(s, "h").alias("h"),
+            F.least(F.size("l"), F.lit(window)).alias("k"),
             F.get("l", s)["i"].alias("from"),
             F.coalesce(F.get("l", s + window)["i"], F.col("n")).alias("to"),
         ),
     )
-    windows = split.where(F.size("l") >= (1 if short else window)).select(ID, TEXT_HASH, F.explode_outer(at).alias("w")).select(
-        "w.h", "w.to", F.struct(F.col(ID), F.col(TEXT_HASH), F.col("w.from")).alias("place")
+    windows = split.where(F.size("l") > 0).select(ID, TEXT_HASH, F.explode_outer(at).alias("w")).select(
+        "w.g", "w.h", "w.k", "w.to", F.struct(F.col(ID), F.col(TEXT_HASH), F.col("w.from")).alias("place")
     )
-    firsts = windows.groupBy("h").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
+    firsts = windows.groupBy("g", "h", "k").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
     # A table of its own: the join shuffles both sides, so that a hot window can be split at run time.
-    later = windows.join(cut(firsts.select("h", "first")), "h").where("place <> first")
+    later = windows.join(cut(firsts.select("g", "h", "k", "first")), ["g", "h", "k"]).where("place <> first")
     covers = F.explode(F.sequence("place.from", F.col("to") - 1)).alias(LINE)
     covered = later.select(F.col(f"place.{ID}").alias(ID), F.col(f"place.{TEXT_HASH}").alias(TEXT_HASH), covers)
     return covered.groupBy(ID, TEXT_HASH).agg(F.collect_set(LINE).alias(DROP))
 
 
-def with_removed(docs: DataFrame, window: int = WINDOW, short: bool = False) -> DataFrame:
+def with_removed(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs with the document keys, the lines, and the numbers of the lines to remove (null where there are none)."""
-    keys = {ID: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), TEXT_HASH: F.xxhash64(F.coalesce("text", F.lit("")))}
-    keyed = docs.withColumns(keys)
-    removed = repeated_lines(keyed.select(ID, TEXT_HASH, "text"), window, short)
+    keyed = docs.withColumns({ID: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), TEXT_HASH: text_key()})
+    removed = repeated_lines(keyed.select(ID, TEXT_HASH, "text"), window)
     return keyed.join(removed.hint("shuffle_hash"), [ID, TEXT_HASH], "left").withColumn(PARTS, F.split("text", "\n"))
 
 
@@ -74,12 +82,12 @@ def kept_text() -> Column:
     return F.when(F.col(DROP).isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(PARTS, i)), "\n"))
 
 
-def drop_repeated_lines(docs: DataFrame, window: int = WINDOW, drop_emptied: bool = False, short: bool = False) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, window: int = WINDOW, drop_emptied: bool = False) -> DataFrame:
     """docs with `text` freed of the lines that later occurrences of repeated windows cover; n_chars, if there, follows.
 
     With drop_emptied, documents of which no line with a word is left go; others are never dropped.
     """
-    out = with_removed(docs, window, short).withColumn("text", kept_text())
+    out = with_removed(docs, window).withColumn("text", kept_text())
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col(DROP).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     if drop_emptied:
@@ -89,15 +97,7 @@ def drop_repeated_lines(docs: DataFrame, window: int = WINDOW, drop_emptied: boo
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the lines before and removed, and the text that is left."""
-    return _counted(with_removed(table(spark, sf_dir, "documents").select("doc_id", "text")))
-
-
-def op2_line_dedup_short(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, with texts of one or two lines compared too."""
-    return _counted(with_removed(table(spark, sf_dir, "documents").select("doc_id", "text"), short=True))
-
-
-def _counted(out: DataFrame) -> DataFrame:
+    out = with_removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(
         "doc_id",
         F.when(F.col("text").isNull(), 0).otherwise(F.size(PARTS)).cast("long").alias("n_lines"),
@@ -118,6 +118,7 @@ WITH parts AS (
 ), windows AS (
   SELECT a.doc_id, a.k, a.w || chr(10) || b.w || chr(10) || c.w AS h, a.i AS i0, b.i AS i1, c.i AS i2
   FROM numbered a JOIN numbered b ON b.doc_id = a.doc_id AND b.k = a.k + 1 JOIN numbered c ON c.doc_id = a.doc_id AND c.k = a.k + 2
+  UNION ALL SELECT doc_id, 1, string_agg(w, chr(10) ORDER BY k), min(i), max(i), NULL FROM numbered GROUP BY doc_id HAVING count(*) < 3
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, k) AS nth FROM windows
 ), covered AS (
@@ -134,10 +135,3 @@ SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS
        CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
-
-#: The rows of op2_line_dedup_short.
-SHORT_SQL = ORACLE_SQL.replace(
-    "), ranked AS (",
-    """  UNION ALL SELECT doc_id, 1, string_agg(w, chr(10) ORDER BY k), min(i), max(i), NULL FROM numbered GROUP BY doc_id HAVING count(*) < 3
-), ranked AS (""",
-)
