@@ -5,14 +5,17 @@ Base kinds (patterns alone): assign, access, hex. The method's kinds are reporte
 * pem: an armoured private key; the base64 body decodes to DER whose nested lengths add up, or to the key container
   that starts with "openssh-key-v1" and whose length-prefixed fields fit.
 * jwt: a signed token; the header decodes to a JSON object that names an algorithm, the payload to a JSON object.
-* der: a bare base64 run that decodes to a DER private key (a sequence that starts with a small version integer and
-  fills the bytes exactly, inner elements included).
+* der: bare base64, plain or URL-safe, in one run or wrapped over lines, that decodes to a DER private key (a sequence
+  that starts with a small version integer and fills the bytes exactly, inner elements included). The sequence's own
+  header says how many characters belong to it. Bodies inside a confirmed pem are not reported again.
 * hexder: the same in hex.
 
-Every candidate pattern is tried only at the start of a run of its characters, so a scan is linear in the text.
+Every candidate pattern is tried only at the start of a run of its characters, so a scan is linear in the text; a wrapped
+body is followed for as many characters as its header claims.
 
 Defined cases: null and empty texts have no span: counts 0, the digest of the empty string, spans ''. Rows are independent
-of each other (no shuffle), so repeated rows repeat their results, and an empty table gives an empty result.
+of each other (no shuffle), so repeated rows repeat their results, and an empty table gives an empty result. Other columns,
+whatever their names, are not read, and redact_secrets returns them as they are.
 """
 
 from __future__ import annotations
@@ -38,10 +41,15 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # a longer run is one match, a short
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _ARMOUR = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]*+\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/])M[A-Za-z0-9+/]{63,}+={0,2}")
+#: The first line of a base64 sequence: its tag and the top bits of its length make "M" and one of A to P.
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])M[A-P][A-Za-z0-9+/_-]{30,}+")
+_WRAP = re.compile(r"(?:\r?\n|\\r?\\n|\\n)[\x20\t]*([A-Za-z0-9+/_-]+)")
 _HEX_DER = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{62,}+")
 
 
+_PLAIN = str.maketrans("-_", "+/")
+
+
 def _unbase64(body: str, alphabet: bytes | None = None) -> bytes | None:
     try:
         return base64.b64decode(body + "=" * (-len(body) % 4), altchars=alphabet, validate=True)
@@ -81,6 +89,29 @@ def fills(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
     return found
 
 
+def wrapped_body(text: str, start: int, end: int) -> tuple[str, int] | None:
+    """(characters, end) of the base64 sequence whose first line is text[start:end], as long as its header says; None if the
+    text ends before, or goes on after, as many characters."""
+    head = _unbase64(text[start : start + 8].translate(_PLAIN))
+    if head is None or head[0] != 0x30:
+        return None
+    n, width = head[1], 0
+    if n >= 128:
+        width = n & 127
+        if not 1 <= width <= 4:
+            return None
+        n = int.from_bytes(head[2 : 2 + width], "big")
+    need, parts = -(-4 * (2 + width + n) // 3), [text[start:end]]
+    have = end - start
+    while have < need and (m := _WRAP.match(text, end)):
+        parts.append(m[1])
+        have, end = have + len(m[1]), m.end()
+    if have != need:
+        return None
+    padding = -need % 4
+    return "".join(parts), end + padding if padding and text.startswith("=" * padding, end) else end
+
+
 def is_private_der(data: bytes | None) -> bool:
     """A sequence that is all of `data` and starts with version 0 to 3 followed by the parts of a private key."""
     if not data or len(data) < 24 or data[0] != 0x30:
@@ -170,8 +201,11 @@ def find_secrets(text: str) -> list[tuple[int, int, int]]:
                 opened = None
     if "eyJ" in text:
         spans += [(m.start(), 4, m.end()) for m in _TOKEN.finditer(text) if is_signed_token(m[0])]
-    if "M" in text:  # the first sign of every sequence in base64
-        spans += [(m.start(), 5, m.end()) for m in _BASE64.finditer(text) if is_private_der(_unbase64(m[0].rstrip("=")))]
+    armoured = [(a, b) for a, kind, b in spans if kind == 3]
+    for m in _BASE64.finditer(text):
+        found = wrapped_body(text, m.start(), m.end())
+        if found and is_private_der(_unbase64(found[0].translate(_PLAIN))) and not any(a <= m.start() < b for a, b in armoured):
+            spans.append((m.start(), 5, found[1]))
     if "30" in text:
         spans += [(m.start(), 6, m.end()) for m in _HEX_DER.finditer(text) if len(m[0]) % 2 == 0 and is_private_der(bytes.fromhex(m[0]))]
     return sorted(spans)
@@ -223,3 +257,30 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op1_secrets_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op1_secrets that SQL can say."""
+    return op1_secrets(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
+def _spans_sql(kind: str, order: int, pattern: str, holds: str) -> str:
+    """(doc_id, kind, ord, a, z): the matches m of a pattern for which `holds`; places from the pieces between matches."""
+    return f"""SELECT doc_id, '{kind}' AS kind, {order} AS ord, z - length(m) AS a, z FROM (
+  SELECT doc_id, m, sum(length(m) + length(gap)) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS z FROM (
+    SELECT doc_id, generate_subscripts(ms, 1) AS i, unnest(ms) AS m, unnest(gaps[1:len(ms)]) AS gap FROM (
+      SELECT doc_id, regexp_extract_all(text, '{pattern}') AS ms, regexp_split_to_array(text, '{pattern}') AS gaps FROM d))) WHERE {holds}"""
+
+
+_either = lambda word: "".join(f"[{c.upper()}{c}]" for c in word)
+_ASSIGN_SQL = "(?:" + "|".join(map(_either, ("password", "passwd", "secret", "token"))) + f"|{_either('api')}_?{_either('key')}" + r""")["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+#: The rows of op1_secrets_base in DuckDB's SQL.
+BASE_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+spans AS ({_spans_sql('assign', 0, _ASSIGN_SQL, f"length(regexp_extract(m, '{_ASSIGN_SQL}', 1)) >= 6")}
+  UNION ALL {_spans_sql('access', 1, 'AKIA[A-Z0-9]+', 'length(m) >= 20')}
+  UNION ALL {_spans_sql('hex', 2, '[0-9a-f]+', 'length(m) >= 24')}),
+per AS (SELECT doc_id, count(*) FILTER (WHERE ord = 0) AS n0, count(*) FILTER (WHERE ord = 1) AS n1, count(*) FILTER (WHERE ord = 2) AS n2,
+  string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, ord) AS s FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex, sha256(coalesce(s, '')) AS base_sha256 FROM d LEFT JOIN per USING (doc_id)
+"""

@@ -66,6 +66,20 @@ def test_bare_keys_of_any_length_and_after_an_equals_sign():
         assert kinds(f"k {b64(key)} z") == ["der"] and kinds(f"k={b64(key)}") == ["der"]
 
 
+def test_wrapped_and_url_safe_keys():
+    body = b64(KEY)
+    lines = [body[k : k + 64] for k in range(0, len(body), 64)]
+    for between in ("\n", "\r\n", "\n    ", "\\n"):
+        text = f"key: {between.join(lines)}\nnext line"
+        (a, kind, b), = [x for x in M.find_secrets(text) if x[1] >= M.BASE_KINDS]
+        assert (M.KINDS[kind], text[a:b]) == ("der", between.join(lines))
+    safe = base64.urlsafe_b64encode(KEY + b"").decode().rstrip("=")
+    assert kinds(f"k {safe}") == ["der"] and kinds(f"k {safe}A") == []
+    assert "der" not in kinds("\n".join(lines[:-1]))
+    armour = f"-----BEGIN RSA PRIVATE KEY-----\n{chr(10).join(lines)}\n-----END RSA PRIVATE KEY-----"
+    assert [k for k in kinds(armour) if k in ("pem", "der")] == ["pem"]
+
+
 def test_signed_tokens():
     part = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
     token = f"{part({'alg': 'HS256'})}.{part({'sub': 1})}.c2ln"
