@@ -6,8 +6,9 @@ learnt by follow-the-regularised-leader with elastic-net (L1 and L2) penalties,
 temperature, fitted on learning rows that training does not see, calibrates the probabilities.
 
 Learning rows are those with a language and a doc_id whose crc32 (of its decimal text) modulo 3 is not 1. Document
-frequencies are counted over all learning rows. The classifier is fitted on a sample of at most `sample_rows` of them,
-the same number of each language at most, chosen by hash of the text; every fifth sampled row calibrates.
+frequencies are counted over all learning rows. The classifier is fitted on a sample of at most `sample_rows` of them (or one
+of each language, if there are more languages), the same number of each language at most, chosen by hash of the text; every
+fifth sampled row of a language calibrates. Every language of the learning rows is a class.
 
 Plan: document frequencies are one map pass whose result is one row per bucket and task, combined by bucket: the driver
 gets 2 ** BITS numbers. The sample is bounded by its parameter, in rows and by `sample_chars` of summed text, and fitted
@@ -15,12 +16,15 @@ on the driver in numpy. Prediction is one pass without a shuffle over whole text
 
 Defined cases: null texts and texts without a letter are `und` with score 0; a null doc_id is not held out and not learnt
 from; with no learning rows every text is `und` with score 0; with one language it is predicted with score 1. Ties
-between languages go to the first in alphabetical order. Repeated rows repeat their results.
+between languages go to the first in alphabetical order. Repeated rows repeat their results. Very long texts are counted by
+bucket, whole. Columns of other names than doc_id, text and lang are not read. The jobs that learn run while the result
+is built.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -29,18 +33,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import table
+from .common import small, table
 
 BITS, ORDERS = 16, (1, 2, 3)
 SAMPLE_ROWS, SAMPLE_CHARS, EPOCHS = 4_000, 20_000_000, 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 2e-4, 1e-4
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Numerals that are word characters to Python, but no letters.
+_NUMERALS = "".join(chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) in ("Nl", "No"))
+_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMERALS}]+")
 _SALTS = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
 
 
 def buckets(text: str) -> np.ndarray:
-    """Hashed n-grams of a text, with repeats; empty if it has no letter."""
+    """Hashed n-grams of a text, with repeats; empty if it has no letter (category L)."""
     clean = _NOT_LETTERS.sub(" ", text).strip().lower()
     if not clean:
         return np.empty(0, np.int64)
@@ -75,11 +81,11 @@ class Ftrl:
     """Multinomial logistic regression by FTRL-proximal: per weight a gradient sum and a sum of squares."""
 
     def __init__(self, size: int, classes: int):
-        self.z, self.n = np.zeros((size, classes)), np.zeros((size, classes))
+        self.z, self.n = np.zeros((size, classes), np.float32), np.zeros((size, classes), np.float32)
 
     def weights(self, at=slice(None)) -> np.ndarray:
         z, n = self.z[at], self.n[at]
-        return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
+        return np.where(np.abs(z) <= L1, np.float32(0), -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
     def learn(self, at: np.ndarray, x: np.ndarray, y: int) -> None:
         w = self.weights(at)
@@ -109,40 +115,59 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
-def fit(rows: list[tuple[str, str]], idf: np.ndarray) -> tuple[list[str], np.ndarray, float]:
-    """(languages, weights by bucket with the inverse document frequencies in them, temperature)."""
+class Model:
+    """Languages, the row of each bucket (0: a bucket without a weight), weights by row, temperature."""
+
+    def __init__(self, languages: list[str], row: np.ndarray, weights: np.ndarray, heat: float):
+        self.languages, self.row, self.weights, self.heat = languages, row, weights, heat
+
+    def probabilities(self, found: np.ndarray) -> np.ndarray:
+        """Of the languages, for a text's n-grams."""
+        count = np.bincount(self.row[found], minlength=len(self.weights))
+        at = np.flatnonzero(count) if len(found) < len(count) else slice(None)
+        return softmax((count[at] @ self.weights[at]).astype(np.float64) / len(found) / self.heat)
+
+
+def fit(rows: list[tuple[str, str]], idf: np.ndarray) -> Model:
+    """Only buckets that the rows hold have weights, so that memory follows the sample, not buckets times languages."""
     languages = sorted({lang for lang, _ in rows})
+    number = {lang: k for k, lang in enumerate(languages)}
     examples = []
     for lang, text in rows:
         found = buckets(text)
         if len(found):
             at, count = np.unique(found, return_counts=True)
             # Shares of n-grams are small numbers: the mean text's norm is brought near one.
-            examples.append((at, count / len(found) * idf[at] * 10, languages.index(lang)))
-    train = [e for i, e in enumerate(examples) if i % 5]
-    held = examples[::5]
-    model = Ftrl(len(idf), len(languages))
+            examples.append((at, (count / len(found) * idf[at] * 10).astype(np.float32), number[lang]))
+    used = np.unique(np.concatenate([at for at, *_ in examples])) if examples else np.empty(0, np.int64)
+    train, held, seen = [], [], [0] * len(languages)
+    for at, x, y in examples:
+        seen[y] += 1
+        (train if seen[y] % 5 else held).append((np.searchsorted(used, at), x, y))
+    model = Ftrl(len(used), len(languages))
     for epoch in range(EPOCHS):
         for i in np.random.default_rng(epoch).permutation(len(train)):
             model.learn(*train[i])
     w = model.weights()
-    logits = np.array([x @ w[at] for at, x, _ in held]).reshape(len(held), len(languages))
-    return languages, w * idf[:, None] * 10, temperature(logits, np.array([y for *_, y in held], int))
+    logits = np.array([x @ w[at] for at, x, _ in held], np.float64).reshape(len(held), len(languages))
+    heat = temperature(logits, np.array([y for *_, y in held], int))
+    some = np.flatnonzero((w != 0).any(axis=1))
+    row = np.zeros(len(idf), np.int64)
+    row[used[some]] = np.arange(1, len(some) + 1)
+    return Model(languages, row, np.concatenate([np.zeros((1, len(languages)), np.float32), w[some] * (idf[used[some]] * 10).astype(np.float32)[:, None]]), heat)
 
 
-def _predict(languages: list[str], weights: np.ndarray, heat: float):
+def _predict(model: Model | None):
     def run(batches):
         for batch in batches:
             out: list[list] = [[], [], [], []]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = buckets(text.as_py() or "") if languages else ()
+                found = buckets(text.as_py() or "") if model else ()
                 lang, score = "und", 0.0
                 if len(found):
-                    share = np.bincount(found, minlength=1 << BITS) if len(found) > 30_000 else None
-                    logits = (share @ weights if share is not None else weights[found].sum(axis=0)) / len(found)
-                    p = softmax(logits / heat)
+                    p = model.probabilities(found)
                     best = int(p.argmax())
-                    lang, score = languages[best], float(p[best])
+                    lang, score = model.languages[best], float(p[best])
                 held = doc_id is not None and zlib.crc32(str(doc_id).encode()) % 3 == 1
                 for column, value in zip(out, (doc_id, held, lang, score), strict=True):
                     column.append(value)
@@ -164,23 +189,25 @@ def identify(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS, sample_chars: i
     df = {r["bucket"]: r["n"] for r in counted.collect()}  # at most 2 ** BITS + 1 rows
     total = df.pop(-1, 0)
     if not total:
-        return rows.mapInArrow(_predict([], np.zeros((0, 0)), 1.0), SCHEMA)
+        return rows.mapInArrow(_predict(None), SCHEMA)
     idf = np.full(1 << BITS, np.log1p(total))
     at = np.fromiter(df, np.int64, len(df))
     idf[at] = np.log1p(total / np.fromiter(df.values(), np.float64, len(df)))
     by_lang = learn.groupBy("lang").agg(F.count("*").alias("n"), F.avg(F.length("text")).alias("chars"))
-    sizes = by_lang.orderBy(F.col("n").desc(), "lang").limit(1000).collect()
-    share = min(sample_rows // len(sizes), int(sample_chars / len(sizes) / max(1, max(r["chars"] for r in sizes))) + 1)
+    sizes = by_lang.collect()  # one row per language: the classes of the model
+    per = sample_chars // len(sizes)
+    share = max(1, min(sample_rows // len(sizes), int(per / max(1, max(r["chars"] for r in sizes))) + 1))
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / (1 << 40)
-    wanted = F.coalesce(*(F.when(F.col("lang") == r["lang"], min(1.0, 1.5 * share / r["n"])) for r in sizes), F.lit(0.0))
-    # A text longer than a language's share of the characters is left to the others: the sample stays bounded.
-    drawn = learn.where((draw < wanted) & (F.length("text") <= sample_chars // len(sizes))).withColumn("h", F.xxhash64("text"))
+    # One and a half times the share, and twenty rows more, so that a draw by hash leaves no language without a row.
+    n_of = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, (1.5 * share + 20) / r["n"])) for r in sizes], "lang string, wanted double")
+    fits = F.length("text") <= per  # a text longer than a language's share of the characters is left to the others: the sample stays bounded
+    drawn = learn.where(fits).join(small(n_of, 8_000_000, 64), "lang").where(draw < F.col("wanted")).withColumn("h", F.xxhash64("text"))
     drawn = drawn.groupBy("lang", "h").agg(F.min("text").alias("text"))  # a text that many rows hold is one example
     order = W.partitionBy("lang").orderBy("h")
     running = F.sum(F.length("text")).over(order.rowsBetween(W.unboundedPreceding, 0))
-    sample = drawn.withColumns({"k": F.row_number().over(order), "c": running}).where((F.col("k") <= share) & (F.col("c") <= sample_chars // len(sizes)))
+    sample = drawn.withColumns({"k": F.row_number().over(order), "c": running}).where((F.col("k") <= share) & (F.col("c") <= per))
     taken = sorted((r["h"], r["lang"], r["text"]) for r in sample.select("h", "lang", "text").collect())
-    return rows.mapInArrow(_predict(*fit([(lang, text) for _, lang, text in taken], idf)), SCHEMA)
+    return rows.mapInArrow(_predict(fit([(lang, text) for _, lang, text in taken], idf)), SCHEMA)
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:

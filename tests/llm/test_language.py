@@ -58,6 +58,20 @@ def test_edge_cases(spark):
 
 def test_weights_are_sparse():
     idf = np.ones(1 << M.BITS)
-    languages, weights, heat = M.fit([(lang, text) for _, text, lang in corpus(300)], idf)
-    assert languages == ["de", "en", "fr"] and heat > 0
-    assert (weights != 0).any(axis=1).mean() < 0.05
+    model = M.fit([(lang, text) for _, text, lang in corpus(300)], idf)
+    assert model.languages == ["de", "en", "fr"] and model.heat > 0
+    assert len(model.weights) < 0.05 * len(idf) and (model.row > 0).sum() == len(model.weights) - 1
+
+
+def test_numerals_are_no_letters():
+    assert all(not len(M.buckets(t)) for t in ("½ ² ①", "Ⅷ ⅳ", "12_3", "٣", "")) and len(M.buckets("一")) and len(M.buckets("ª"))
+
+
+def test_every_language_is_a_class(spark):
+    draw = random.Random(9)
+    words = {f"l{k}": "".join(chr(0x4E00 + draw.randrange(5000)) for _ in range(6)) for k in range(1100)}
+    rows = [(i, f"{words[lang]} {words[lang]}", lang) for i, lang in enumerate(x for x in words for _ in range(4))]
+    got = M.identify(docs_of(spark, rows)).collect()
+    taught = {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert len(taught) > 1050 and taught - {r["lang_pred"] for r in got} == set()
+    assert np.mean([r["lang_pred"] == rows[r["doc_id"]][2] for r in got]) > 0.95
