@@ -3,26 +3,32 @@
 Plan
 ----
 1. One pass over the texts gives each document a hash of its normalised word sequence and the band hashes of its
-   BagMinHash signature. Documents of equal word sequence collapse to one representative before anything else is
-   shuffled, so a group of exact copies of any size costs one row per document and nothing more.
-2. Band buckets with two or more representatives propose links. A bucket first compares its members with its smallest
-   member only (a star), which settles a group whose members all resemble that one in linear time. Verified links merge
-   members into components. Buckets that then still hold several components are compared exactly, every pair of
-   different components, in blocks of bounded size: a block pair is one task's group, its overlaps are products of
-   0/1 matrices, and it returns one row per member at most, never its pairs. No link between different texts is
-   lost to a cap; the price is that an unsettled bucket of n members costs n * n / block rows of shuffle.
+   BagMinHash signature. Documents of equal word sequence collapse to one node before anything else is shuffled, so a
+   group of exact copies of any size costs one row per document and nothing more.
+2. Band buckets with two or more nodes propose links. A bucket first compares its members with its smallest member only (a
+   star), which settles a group whose members all resemble that one in linear time. Verified links merge members into
+   components. Buckets that then still hold several components are compared exactly, every pair of different
+   components, in blocks of bounded size: a block pair is one task's group, its overlaps are products of 0/1 matrices, and
+   it returns one row per member at most, never its pairs. No link between different texts is lost to a cap; the price is
+   that an unsettled bucket of n members costs n * n / BLOCK rows of shuffle.
 3. Verification is exact: the multiset (weighted) Jaccard similarity of five-word shingles, at least `threshold`.
 4. Links become classes by distributed connected components.
 
+Recall: a pair at the threshold shares no band with probability 2e-4, at 0.85 with 2e-6; a pair at 0.45 is proposed
+with probability 0.21.
+
 BagMinHash: a shingle of weight w owns the interval [0, w) of a weight axis discretised at the integers. The axis is
 cut into the dyadic intervals [0, 1), [1, 2), [2, 4), ...; each (shingle, interval) has its own Poisson process whose
 points carry an arrival time, a register and, by hash bits that halve the interval again and again, a unit cell.
 A point counts if its cell lies below w. A register keeps its earliest point, so two documents agree in a register with
 probability sum(min)/sum(max) of the weights. Times beyond the bound by which all registers are filled are never drawn.
 
-Defined cases: null or blank text has no shingles: the document is a class of its own. Texts of one to four words have
-one shingle, the whole text. class_id is the smallest doc_id of the class; rows that share a doc_id are one document. A
-null doc_id takes no part: its class_id is null. Empty tables give empty results.
+Defined cases: null or blank text has no shingles: each such row is a class of its own. Texts of one to four words have
+one shingle, the whole text. class_id is the smallest doc_id of the class; rows of the same doc_id and text are one document;
+different texts under one doc_id, or without one, are documents of their own, and a class without any doc_id has a null
+class_id. keep_one keeps of each class the document with the smallest doc_id (null last, ties by a hash of the text), once.
+Very long texts are hashed and signed whole, one at a time. Other columns, whatever their names, are passed through by
+keep_one. Empty tables give empty results. The jobs that find links run while the result is built.
 """
 
 from __future__ import annotations
@@ -30,17 +36,16 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from .common import components, cut, is_empty, releasing, table
+from .common import OWN, components, cut, is_empty, releasing, table, text_key
 
 WIDTH, THRESHOLD = 5, 0.8
-#: A pair at the threshold shares no band with probability (1 - 0.8 ** ROWS) ** BANDS, about 3e-6.
-BANDS, ROWS = 24, 4
+#: A pair at the threshold shares no band with probability (1 - 0.8 ** ROWS) ** BANDS, about 2e-4.
+BANDS, ROWS = 28, 6
 #: Members of a block in exact comparison.
-BLOCK = 512
+BLOCK = 1024
 #: Words hashed at once.
 BATCH_WORDS = 150_000
 
@@ -129,11 +134,18 @@ def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-SIGNED = "doc_id long, k1 long, k2 long, n_shingles int, bands array<long>"
+#: What makes a document: id (null last) and text.
+ROW = f"{OWN}row"
+SIGNED = f"doc_id long, {ROW} struct<none:boolean,id:long,a:long,b:long>, k1 long, k2 long, n_shingles int, bands array<long>"
+
+
+def row_key() -> Column:
+    text, id_ = text_key(), F.col("doc_id").cast("long")
+    return F.struct(id_.isNull().alias("none"), F.coalesce(id_, F.lit(0)).alias("id"), text["a"].alias("a"), text["b"].alias("b"))
 
 
 def _sign(bands: int, rows: int):
-    def flush(ids, keys, bags):
+    def flush(ids, rows_of, keys, bags):
         full = [i for i, b in enumerate(bags) if len(b)]
         uniques = [np.unique(bags[i], return_counts=True) for i in full]
         found = np.empty((0, bands), np.int64)
@@ -147,30 +159,28 @@ def _sign(bands: int, rows: int):
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(ids, pa.int64()),
+                pa.concat_arrays(rows_of),
                 pa.array(np.array([k[0] for k in keys], np.uint64).view(np.int64)),
                 pa.array(np.array([k[1] for k in keys], np.uint64).view(np.int64)),
                 pa.array([len(b) for b in bags], pa.int32()),
                 pa.ListArray.from_arrays(offsets, pa.array(found.ravel())),
             ],
-            names=["doc_id", "k1", "k2", "n_shingles", "bands"],
+            names=["doc_id", ROW, "k1", "k2", "n_shingles", "bands"],
         )
 
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            ids, keys, bags, size = [], [], [], 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            doc_ids, begin, keys, bags, size = batch.column(0).to_pylist(), 0, [], [], 0
+            for i, text in enumerate(batch.column(2)):
                 words = split_words(text.as_py())
                 key = xxhash.xxh3_128_intdigest(b" ".join(words))
-                ids.append(doc_id)
                 keys.append((key >> 64, key & 0xFFFFFFFFFFFFFFFF))
                 bags.append(shingle_hashes(words, hashes))
                 size += len(words)
-                if size >= BATCH_WORDS:
-                    yield flush(ids, keys, bags)
-                    ids, keys, bags, size = [], [], [], 0
-            if ids:
-                yield flush(ids, keys, bags)
+                if size >= BATCH_WORDS or i == len(doc_ids) - 1:
+                    yield flush(doc_ids[begin : i + 1], [batch.column(1).slice(begin, i + 1 - begin)], keys, bags)
+                    begin, keys, bags, size = i + 1, [], [], 0
 
     return run
 
@@ -293,42 +303,45 @@ def links_of(members: DataFrame, bags: DataFrame, threshold: float, block: int)
     return components(edges.union(more))
 
 
-def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
-    """One row (doc_id, class_id) per row of docs."""
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+def classified(docs: DataFrame, threshold: float, bands: int, rows: int, block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(signed rows; nodes (k1, k2, node, class_id, lead), lead being the row that stands for the class; rows that repeat)."""
+    texts = docs.select(F.col("doc_id").cast("long"), row_key().alias(ROW), F.col("text").cast("string"))
     signed = cut(texts.mapInArrow(releasing(_sign(bands, rows)), SIGNED))
-    full = signed.where("doc_id is not null and n_shingles > 0")
+    full = signed.where("n_shingles > 0")
+    repeated = cut(full.groupBy(ROW).agg(F.count("*").alias("n")).where("n > 1").select(ROW))
     # A table of its own: joins with it shuffle both sides, so that a hot group of copies can be split at run time.
-    reps = cut(full.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")))
-    first = full.join(reps, (full["k1"] == reps["k1"]) & (full["k2"] == reps["k2"]) & (full["doc_id"] == reps["rep"]))
-    buckets = first.select("rep", F.explode("bands").alias("key"))
-    shared = buckets.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key")
-    members = cut(buckets.join(shared, "key", "left_semi").distinct())
-    named = full.join(reps, ["k1", "k2"]).select("doc_id", "rep")
+    found = full.groupBy("k1", "k2").agg(F.min(ROW).alias("lead"), F.min("doc_id").alias("low"))
+    nodes = cut(found.withColumn("node", F.monotonically_increasing_id()))
+    buckets = full.join(nodes, ["k1", "k2"]).where(F.col(ROW) == F.col("lead")).select("node", F.explode("bands").alias("key"))
+    shared = buckets.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
+    members = cut(buckets.join(shared, "key", "left_semi").select("key", F.col("node").alias("rep")).distinct())
     labels = None
     if not is_empty(members):
-        wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-        bags = cut(texts.join(wanted, "doc_id", "left_semi").mapInArrow(releasing(_bags), "id long, bag binary"))
+        wanted = nodes.join(members.select(F.col("rep").alias("node")).distinct(), "node", "left_semi").select("node", F.col("lead").alias(ROW))
+        bags = texts.join(wanted, ROW).select("node", "text").mapInArrow(releasing(_bags), "id long, bag binary")
+        bags = cut(bags if is_empty(repeated) else bags.dropDuplicates(["id"]))
         labels = links_of(members, bags, threshold, block)
-    if labels is not None:
-        joined = named.join(labels, named["rep"] == labels["node"], "left")
-        named = joined.select("doc_id", F.coalesce("comp", "rep").alias("class_id"))
-    else:
-        named = named.select("doc_id", F.col("rep").alias("class_id"))
-    alone = signed.where("doc_id is null or n_shingles = 0").select("doc_id", F.col("doc_id").alias("class_id"))
-    return named.union(alone)
-
-
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The documents without those that are near duplicates of a smaller doc_id; rows without doc_id stay."""
-    classes = cut(near_duplicates(docs, **options))
-    kept = classes.where("doc_id = class_id")
-    out = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi")
-    if not is_empty(kept.groupBy("doc_id").count().where("count > 1")):  # rows that share a doc_id: one of them stays
-        order = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-        out = out.withColumn("__kf_rn", F.row_number().over(order)).where("__kf_rn = 1").drop("__kf_rn")
-    if not is_empty(classes.where("doc_id is null")):
-        out = out.unionByName(docs.where("doc_id is null"))
+    if labels is None:
+        return signed, nodes.withColumnRenamed("low", "class_id"), repeated
+    own = nodes.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    classes = own.groupBy("comp").agg(F.min("low").alias("class_id"), F.min("lead").alias("lead"))
+    return signed, cut(own.select("k1", "k2", "node", "comp").join(classes, "comp").drop("comp")), repeated
+
+
+def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+    """One row (doc_id, class_id) per row of docs."""
+    signed, nodes, _ = classified(docs, threshold, bands, rows, block)
+    named = signed.where("n_shingles > 0").join(nodes, ["k1", "k2"]).select("doc_id", "class_id")
+    return named.union(signed.where("n_shingles = 0").select("doc_id", F.col("doc_id").alias("class_id")))
+
+
+def keep_one(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+    """One document of each class of near duplicates, unchanged; documents without a word stay."""
+    signed, nodes, repeated = classified(docs, threshold, bands, rows, block)
+    kept = nodes.select(F.col("lead").alias(ROW)).union(signed.where("n_shingles = 0").select(ROW)).distinct()
+    out = docs.withColumn(ROW, row_key()).join(kept, ROW, "left_semi")
+    if not is_empty(repeated):  # rows of the same doc_id and text: one of them stays
+        out = out.join(repeated, ROW, "left_anti").unionByName(out.join(repeated, ROW, "left_semi").dropDuplicates([ROW]))
     return out.select(*docs.columns)
 
 

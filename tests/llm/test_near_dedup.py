@@ -45,6 +45,20 @@ def test_classes_against_brute_force(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values()))
 
 
+def test_documents_are_told_apart_by_id_and_text(spark):
+    one, two = ("alpha beta gamma delta epsilon zeta eta theta", "iota kappa lambda mu nu xi omicron pi rho")
+    docs = [(1, one), (5, one), (5, two), (5, two), (None, two), (None, "sigma tau"), (None, "sigma tau"), (7, "sigma tau"), (8, None)]
+    assert sorted((r["doc_id"] or 0, r["class_id"] or 0) for r in M.near_duplicates(frame(spark, docs)).collect()) == [(0, 5), (0, 7), (0, 7), (1, 1), (5, 1), (5, 5), (5, 5), (7, 7), (8, 8)]
+    assert sorted((r["doc_id"], r["text"]) for r in M.keep_one(frame(spark, docs)).collect()) == [(1, one), (5, two), (7, "sigma tau"), (8, None)]
+    assert [r["text"] for r in M.keep_one(frame(spark, [(None, one), (None, one)])).collect()] == [one]
+
+
+def test_a_very_long_text(spark):
+    long = " ".join(f"w{k % 977}x{k % 13}" for k in range(120_000))
+    rows = M.near_duplicates(frame(spark, [(1, long), (2, long + " end"), (3, long[: len(long) // 2])])).collect()
+    assert {(r["doc_id"], r["class_id"]) for r in rows} == {(1, 1), (2, 1), (3, 3)}
+
+
 def test_signatures_estimate_weighted_jaccard():
     draw = random.Random(1)
     for _ in range(6):
