@@ -1,7 +1,9 @@
 """A corpus pipeline of five training-data operators: each stage works on all that the one before it kept.
 
 run(spark, sf_dir) applies the stages in order; whoever runs them one by one writes each result as Parquet and reads it
-again as the next stage's documents. All stages but the last return the columns of documents.
+again as the next stage's documents. All stages but the last return the columns of documents, and others that it may have.
+Documents are rows told apart by doc_id and text; nulls, blanks, repeats and very long texts are treated as each operator's
+module says; an empty table passes through.
 """
 
 from __future__ import annotations
@@ -17,19 +19,19 @@ from kinfold.session import ship
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go, and lines that the host's documents share; null text is rejected."""
     ship(spark)
     return keep_good(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that later occurrences of repeated windows cover go, and documents that lose all their lines so."""
+    """Lines that later occurrences of repeated windows cover go, and documents that lose all their lines so (exact copies)."""
     ship(spark)
     return drop_repeated_lines(docs, drop_emptied=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates stays, the one with the smallest doc_id."""
+    """One document of each class of near duplicates stays, the one with the smallest doc_id; a null one comes last."""
     ship(spark)
     return keep_one(docs)
 
