@@ -4,21 +4,22 @@ A turn is rendered as "<|role|>", a line break, its text and a line break. The t
 common from the start (same role and text) are rendered once as `prompt`; what follows on either side is its completion.
 Only the texts of assistant turns in a completion are trained on: its mask lists their code point ranges ("start:end",
 end exclusive) within the completion; everything else of it, and the whole prompt, is masked out. A pair is usable if
-both completions hold an assistant turn and differ.
+they share a turn and both completions hold an assistant turn and differ.
 
-The table has no preferences, so the query pairs conversations that start with the same turn: by conv_id, the first
-is chosen, the second rejected, the third chosen, and so on. A first turn of many conversations is dealt into groups of
-about GROUP conversations (conv_id modulo their number); the odd ones of these groups, one of each at most, are paired
-with each other. Conversations that are left over (most first turns are unique) are paired in the same way with neighbours
-in runs of 64 conv_ids, and the odd ones of the runs with their neighbours in the order of conv_id; these pairs have an
-empty prompt, and both completions are whole conversations. The order is numbered by ranges that are sorted each on its
-own, so no task holds more than a range, and the pairs do not depend on where ranges end. Pairing moves ids and first
-turns only; turns then meet by pair, a group of two conversations.
+The table has no preferences, so the query makes them: every conversation is chosen, and rejected is the same
+conversation with the text of its last assistant turn replaced by that of another one, the next in the order of md5 over
+conv_id (the last takes the first). `rejected_id` names the conversation that gave the answer. Tables of real preferences
+are pairs (chosen_id, rejected_id) for `format_pairs`, which finds their common turns in the same way.
+
+Plan. Turns meet by conversation, once. The order is numbered by ranges that are sorted each on its own, so no task holds
+more than a range, and the numbers do not depend on where ranges end; a conversation meets its answer by an equi-join on
+that number. Nothing is grouped by content: equal first turns or whole conversations, however many, are rows like others.
 
 Defined cases: rows without conv_id are no conversation; a null role counts as user, a null text as empty, a null turn
-comes first; turns of the same number are ordered by role and text, repeated rows count as turns; of an odd number of
-conversations one is alone: its row has a null rejected_id, its turns as chosen, and is not usable; an empty table gives
-an empty result. The SQL below stops at the runs: it pairs the odd ones of parts and of runs with nobody.
+comes first; turns of the same number are ordered by role and text, repeated rows count as turns; a conversation without an
+assistant turn has a null rejected_id, its turns as chosen, and is not usable; one whose own answer comes back (the only one,
+or an equal text) is not usable; very long turns and conversations are one row each; other columns are not read; an empty
+table gives an empty result. One job, which numbers the conversations, runs while the result is built.
 """
 
 from __future__ import annotations
@@ -29,8 +30,6 @@ from pyspark.sql import Window as W
 
 from .common import cut, table
 
-GROUP = 1000
-
 
 def turns_of(conversations: DataFrame) -> DataFrame:
     return conversations.where("conv_id is not null").select(
@@ -38,40 +37,35 @@ def turns_of(conversations: DataFrame) -> DataFrame:
     )
 
 
-def pair_by_first_turn(turns: DataFrame, group: int = GROUP) -> DataFrame:
-    """(chosen_id, rejected_id): each conversation once, with one that starts with the same turn if there is one to spare."""
-    first = turns.groupBy("conv_id").agg(F.min(F.struct("turn", "role", "text")).alias("f"))
-    keyed = first.select("conv_id", F.col("f.role").alias("role"), F.col("f.text").alias("text"))
-    large = keyed.groupBy("role", "text").agg(F.count("*").alias("n")).where(F.col("n") > group)
-    # A table of its own: the join shuffles both sides, so that a hot first turn can be split at run time.
-    large = cut(large)
-    parts = F.ceil(F.coalesce("n", F.lit(1)) / F.lit(float(group))).cast("long")
-    dealt = keyed.join(large, ["role", "text"], "left").select("conv_id", "role", "text", (F.col("conv_id") % parts).alias("part"))
-    # Dealt by part as well before the window, which would otherwise keep the join's partitions, one for a first turn.
-    dealt = dealt.repartition("role", "text", "part")
-    shared, odd = _consecutive(dealt, "role", "text", "part")
-    spread, rest = _consecutive(odd, "role", "text")
-    near, last = _consecutive(rest.select("conv_id", F.shiftright("conv_id", 6).alias("run")), "run")
-    return shared.union(spread).union(near).union(_in_order(last.select("conv_id")))
-
-
-def _in_order(ids: DataFrame) -> DataFrame:
-    """Pairs of neighbours in the order of conv_id; the last of an odd number has no partner."""
-    at = F.monotonically_increasing_id()  # number of the range, then 33 bits of the row in it
-    placed = cut(ids.repartitionByRange("conv_id").sortWithinPartitions("conv_id").select("conv_id", F.shiftright(at, 33).alias("range"), at.bitwiseAND(2**33 - 1).alias("row")))
-    sizes = placed.groupBy("range").agg(F.count("*").alias("n"))  # one row per partition
-    before = sizes.select("range", (F.sum("n").over(W.orderBy("range")) - F.col("n")).alias("before"))
-    pair = F.shiftright(F.col("before") + F.col("row"), 1).alias("pair")
-    met = placed.join(F.broadcast(before), "range").groupBy(pair).agg(F.min("conv_id").alias("chosen_id"), F.max("conv_id").alias("last"))
-    return met.select("chosen_id", F.when(F.col("last") > F.col("chosen_id"), F.col("last")).alias("rejected_id"))
+def conversations_of(turns: DataFrame) -> DataFrame:
+    """(conv_id, t): the turns of each conversation in order."""
+    return turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
 
 
-def _consecutive(ids: DataFrame, *group: str) -> tuple[DataFrame, DataFrame]:
-    """Pairs of the first and second, third and fourth, ... conversation of each group, and the ones left over."""
-    order = W.partitionBy(*group).orderBy("conv_id")
-    numbered = ids.select("*", F.lead("conv_id").over(order).alias("next"), (F.row_number().over(order) % 2 == 1).alias("odd"))
-    pairs = numbered.where("odd and next is not null").select(F.col("conv_id").alias("chosen_id"), F.col("next").alias("rejected_id"))
-    return pairs, numbered.where("odd and next is null").drop("next", "odd")
+def numbered(rows: DataFrame, order: str) -> tuple[DataFrame, int]:
+    """rows with `number`, from 0 in the given order, and how many there are."""
+    at = F.monotonically_increasing_id()  # number of the range, then 33 bits of the row in it
+    placed = rows.repartitionByRange(order).sortWithinPartitions(order)
+    placed = cut(placed.withColumns({"range": F.shiftright(at, 33), "row": at.bitwiseAND(2**33 - 1)}))
+    sizes = placed.groupBy("range").agg(F.count("*").alias("n"))  # one row per partition
+    before = cut(sizes.select("range", "n", (F.sum("n").over(W.orderBy("range")) - F.col("n")).alias("before")))
+    total = before.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return placed.join(F.broadcast(before.drop("n")), "range").withColumn("number", F.col("before") + F.col("row")).drop("range", "row", "before"), total
+
+
+def with_other_answers(convs: DataFrame) -> DataFrame:
+    """(chosen_id, rejected_id, c, r): each conversation, and itself with another one's last answer."""
+    back = F.array_position(F.reverse(F.transform("t", lambda x: x["role"])), "assistant")
+    convs = cut(convs.withColumn("last", F.when(back > 0, F.size("t") - back).cast("int")))
+    answers = convs.where("last is not null").select("conv_id", F.md5(F.col("conv_id").cast("string").cast("binary")).alias("md5"), F.get("t", F.col("last"))["text"].alias("answer"))
+    placed, n = numbered(answers, "md5")
+    given = placed.select(F.pmod(F.col("number") - 1, F.lit(max(n, 1))).alias("number"), F.col("conv_id").alias("rejected_id"), "answer")
+    taken = placed.select("conv_id", "number").join(given, "number").drop("number")
+    changed = F.transform("t", lambda x, i: F.when(i == F.col("last"), F.struct(x["turn"].alias("turn"), x["role"].alias("role"), F.col("answer").alias("text"))).otherwise(x))
+    none = F.slice("t", 1, 0)
+    return convs.join(taken, "conv_id", "left").select(
+        F.col("conv_id").alias("chosen_id"), "rejected_id", F.col("t").alias("c"), F.when(F.col("rejected_id").isNull(), none).otherwise(changed).alias("r")
+    )
 
 
 def _rendered(turns: Column) -> Column:
@@ -90,51 +84,47 @@ def _mask(turns: Column) -> Column:
     return F.array_join(F.transform(F.filter(spans, lambda s: s["role"] == "assistant"), lambda s: F.concat_ws(":", s["a"], s["b"])), ",")
 
 
-def format_pairs(pairs: DataFrame, turns: DataFrame) -> DataFrame:
-    """One row per pair (chosen_id, rejected_id): shared turns, prompt, completions, masks, usable."""
-    sides = pairs.select(
-        F.col("chosen_id").alias("pair"),
-        F.explode(F.array(F.struct(F.col("chosen_id").alias("conv_id"), F.lit(True).alias("chosen")), F.struct(F.col("rejected_id").alias("conv_id"), F.lit(False).alias("chosen")))).alias("s"),
-    ).select("pair", "s.conv_id", "s.chosen")
-    turn = F.struct("turn", "role", "text")
-    side = lambda chosen: F.array_sort(F.collect_list(F.when(F.col("chosen") == chosen, turn)))
-    met = turns.join(sides, "conv_id").groupBy("pair").agg(
-        side(True).alias("c"), side(False).alias("r"), F.max(F.when(~F.col("chosen"), F.col("conv_id"))).alias("rejected_id")
-    )
+def formatted(sides: DataFrame) -> DataFrame:
+    """(chosen_id, rejected_id, c, r: turns) to shared turns, prompt, completions, masks, usable."""
     same = F.zip_with("c", "r", lambda x, y: x["role"].eqNullSafe(y["role"]) & x["text"].eqNullSafe(y["text"]))
-    placed = met.withColumn("same", same).withColumn("n", F.when(F.array_contains("same", False), F.array_position("same", False) - 1).otherwise(F.size("same")).cast("int"))
+    n = F.when(F.array_contains("same", False), F.array_position("same", False) - 1).otherwise(F.size("same")).cast("int")
+    placed = sides.withColumn("same", same).withColumn("n", n)
     rest = lambda side: F.slice(side, F.col("n") + 1, F.greatest(F.size(side) - F.col("n"), F.lit(0)))
-    parted = placed.select("pair", "rejected_id", "n", F.slice("c", F.lit(1), F.col("n")).alias("p"), rest("c").alias("c"), rest("r").alias("r"))
+    parted = placed.select("chosen_id", "rejected_id", "n", F.slice("c", F.lit(1), F.col("n")).alias("p"), rest("c").alias("c"), rest("r").alias("r"))
     answers = lambda side: F.exists(side, lambda t: t["role"] == "assistant")
-    return parted.select(
-        F.col("pair").alias("chosen_id"), "rejected_id", F.col("n").cast("long").alias("n_common"), _rendered(F.col("p")).alias("prompt"),
-        _rendered(F.col("c")).alias("chosen"), _rendered(F.col("r")).alias("rejected"), _mask(F.col("c")).alias("chosen_mask"),
-        _mask(F.col("r")).alias("rejected_mask"), (answers("c") & answers("r") & (_rendered(F.col("c")) != _rendered(F.col("r")))).alias("usable"),
+    shown = parted.select("chosen_id", "rejected_id", "n", "c", "r", _rendered(F.col("p")).alias("prompt"), _rendered(F.col("c")).alias("chosen"), _rendered(F.col("r")).alias("rejected"))
+    return shown.select(
+        "chosen_id", "rejected_id", F.col("n").cast("long").alias("n_common"), "prompt", "chosen", "rejected", _mask(F.col("c")).alias("chosen_mask"),
+        _mask(F.col("r")).alias("rejected_mask"), ((F.col("n") > 0) & answers("c") & answers("r") & (F.col("chosen") != F.col("rejected"))).alias("usable"),
     )
 
 
+def format_pairs(pairs: DataFrame, turns: DataFrame) -> DataFrame:
+    """One row per pair (chosen_id, rejected_id) of a preference table; a side without turns is empty."""
+    convs = conversations_of(turns)
+    side = lambda name, to: convs.select(F.col("conv_id").alias(name), F.col("t").alias(to))
+    met = pairs.join(side("chosen_id", "c"), "chosen_id", "left").join(side("rejected_id", "r"), "rejected_id", "left")
+    none = F.array().cast(convs.schema["t"].dataType)
+    return formatted(met.select("chosen_id", "rejected_id", F.coalesce("c", none).alias("c"), F.coalesce("r", none).alias("r")))
+
+
 def op7_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = turns_of(table(spark, sf_dir, "conversations"))
-    return format_pairs(pair_by_first_turn(turns), turns)
+    return formatted(with_other_answers(conversations_of(turns_of(table(spark, sf_dir, "conversations")))))
 
 
 #: The same rows in DuckDB's SQL.
-ORACLE_SQL = f"""
+ORACLE_SQL = """
 WITH t AS (
   SELECT conv_id, coalesce(role, 'user') AS role, coalesce(text, '') AS text,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) AS k
   FROM conversations WHERE conv_id IS NOT NULL
-), f AS (SELECT conv_id, role, text, ceil(count(*) OVER (PARTITION BY role, text) / {GROUP}.0)::BIGINT AS parts FROM t WHERE k = 1
-), r AS (
-  SELECT conv_id, row_number() OVER o AS n, lead(conv_id) OVER o AS nxt FROM f WINDOW o AS (PARTITION BY role, text, conv_id % parts ORDER BY conv_id)
-), l AS (
-  SELECT conv_id, row_number() OVER o AS n, lead(conv_id) OVER o AS nxt FROM r WHERE n % 2 = 1 AND nxt IS NULL
-  WINDOW o AS (PARTITION BY conv_id >> 6 ORDER BY conv_id)
+), l AS (SELECT conv_id, max(k) AS k, arg_max(text, k) AS answer FROM t WHERE role = 'assistant' GROUP BY conv_id
+), n AS (SELECT *, row_number() OVER (ORDER BY md5(conv_id::VARCHAR)) - 1 AS r, count(*) OVER () AS total FROM l
 ), p AS (
-  SELECT conv_id AS chosen_id, nxt AS rejected_id FROM r WHERE n % 2 = 1 AND nxt IS NOT NULL
-  UNION ALL SELECT conv_id, nxt FROM l WHERE n % 2 = 1 AND nxt IS NOT NULL
+  SELECT DISTINCT t.conv_id AS chosen_id, b.conv_id AS rejected_id, a.k AS last, b.answer
+  FROM t LEFT JOIN n a ON a.conv_id = t.conv_id LEFT JOIN n b ON b.r = (a.r + 1) % a.total
 ), c AS (SELECT p.chosen_id, t.k, t.role, t.text FROM p JOIN t ON t.conv_id = p.chosen_id
-), d AS (SELECT p.chosen_id, t.k, t.role, t.text FROM p JOIN t ON t.conv_id = p.rejected_id
+), d AS (SELECT p.chosen_id, t.k, t.role, CASE WHEN t.k = last THEN answer ELSE t.text END AS text FROM p JOIN t ON t.conv_id = p.chosen_id WHERE rejected_id IS NOT NULL
 ), same AS (
   SELECT chosen_id, coalesce(min(k) FILTER (WHERE c.role IS DISTINCT FROM d.role OR c.text IS DISTINCT FROM d.text) - 1, max(k)) AS n_common
   FROM c FULL JOIN d USING (chosen_id, k) GROUP BY chosen_id
@@ -154,6 +144,6 @@ WITH t AS (
          count(*) FILTER (WHERE side = 'c' AND done AND role = 'assistant') > 0 AND count(*) FILTER (WHERE side = 'd' AND done AND role = 'assistant') > 0 AS answered
   FROM ends GROUP BY chosen_id
 )
-SELECT chosen_id, rejected_id, CAST(n_common AS BIGINT) AS n_common, prompt, chosen, rejected, chosen_mask, rejected_mask, answered AND chosen <> rejected AS usable
+SELECT chosen_id, rejected_id, CAST(n_common AS BIGINT) AS n_common, prompt, chosen, rejected, chosen_mask, rejected_mask, n_common > 0 AND answered AND chosen <> rejected AS usable
 FROM p JOIN same USING (chosen_id) JOIN put USING (chosen_id)
 """

@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 
 from kinfold.llm import preferences as M
@@ -12,52 +14,52 @@ def conversations(spark, rows):
     return M.turns_of(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA))
 
 
+def made(turns):
+    return {r["chosen_id"]: r for r in M.formatted(M.with_other_answers(M.conversations_of(turns))).collect()}
+
+
 def test_prefix_completions_and_masks(spark):
     rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "more"), (1, 3, "assistant", "good é"), (2, 3, "assistant", "bad"), (2, 0, "user", "q"), (2, 1, "assistant", "a"), (2, 2, "user", "more")]
     turns = conversations(spark, rows)
-    row = M.format_pairs(M.pair_by_first_turn(turns), turns).first()
+    pairs = spark.createDataFrame([(1, 2), (2, 9)], "chosen_id long, rejected_id long")
+    row, lost = sorted(M.format_pairs(pairs, turns).collect())
     assert (row["chosen_id"], row["rejected_id"], row["n_common"], row["usable"]) == (1, 2, 3, True)
     assert row["prompt"] == "<|user|>\nq\n<|assistant|>\na\n<|user|>\nmore\n"
     assert row["chosen"] == "<|assistant|>\ngood é\n" and row["rejected"] == "<|assistant|>\nbad\n"
     for side, want in (("chosen", "good é"), ("rejected", "bad")):
         a, b = map(int, row[f"{side}_mask"].split(":"))
         assert row[side][a:b] == want
+    assert (lost["n_common"], lost["rejected"], lost["usable"]) == (0, "", False)
+
+
+def test_every_conversation_gets_the_next_ones_answer(spark):
+    rows = [(i, k, "user" if k % 2 == 0 else "assistant", f"t{i}.{k}") for i in range(40) for k in range(2 + i % 5)]
+    got = made(conversations(spark, rows))
+    order = sorted(range(40), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    for place, i in enumerate(order):
+        other, n = order[(place + 1) % 40], 2 + i % 5
+        last, answer = n - 1 - n % 2, 1 + (other % 5) // 2 * 2
+        assert got[i]["rejected_id"] == other and got[i]["n_common"] == last and got[i]["usable"]
+        assert got[i]["chosen"].startswith(f"<|assistant|>\nt{i}.{last}\n") and got[i]["rejected"].startswith(f"<|assistant|>\nt{other}.{answer}\n")
+        assert got[i]["prompt"] == "".join(f"<|{'user' if k % 2 == 0 else 'assistant'}|>\nt{i}.{k}\n" for k in range(last))
+
+
+def test_most_conversations_of_the_table_are_usable(spark):
+    rows = queries.QUERIES["op7_preferences"](spark, "/root/testdata/sf0.01").select("n_common", "usable").collect()
+    assert sum(r["n_common"] >= 1 for r in rows) > 0.9 * len(rows) and sum(r["usable"] for r in rows) > 0.9 * len(rows)
 
 
 def test_edge_cases(spark):
-    rows = [(1, 0, None, None), (2, 0, None, None), (None, 0, "user", "x"), (3, None, "user", "y"), (3, 0, "assistant", ""), (3, 0, "assistant", ""), (4, 0, "user", "z")]
-    turns = conversations(spark, rows)
-    got = {(r["chosen_id"], r["rejected_id"]): r for r in M.format_pairs(M.pair_by_first_turn(turns), turns).collect()}
-    assert set(got) == {(1, 2), (3, 4)}
-    assert got[1, 2]["n_common"] == 1 and got[1, 2]["chosen"] == "" and not got[1, 2]["usable"]
-    assert got[3, 4]["chosen_mask"] == "25:25,40:40"
-    none = conversations(spark, [])
-    assert M.format_pairs(M.pair_by_first_turn(none), none).count() == 0
-
-
-def test_large_first_turns_are_dealt(spark):
-    turns = conversations(spark, [(i, 0, "user", "same") for i in range(95)])
-    pairs = M.pair_by_first_turn(turns, group=10).collect()
-    used = [x for r in pairs for x in r]
-    assert len(used) == len(set(used)) >= 90
-
-
-def test_every_conversation_is_paired(spark):
-    pairs = lambda rows, **b: {(r[0], r[1]) for r in M.pair_by_first_turn(conversations(spark, rows), **b).collect()}
-    assert pairs([(64 * i, 0, "user", f"q{i}") for i in range(7)]) == {(0, 64), (128, 192), (256, 320), (384, None)}
-    ids = [i for k in range(9) for i in (64 * k, 64 * k + 1, 64 * k + 2)]  # runs of three
-    used = [x for p in pairs([(i, 0, "user", f"q{i}") for i in ids]) for x in p]
-    assert sorted(x for x in used if x is not None) == ids and used.count(None) == 1
-    same = pairs([(10 * i, 0, "user", "same") for i in range(10)] + [(i, 0, "user", "same") for i in range(1, 10)] + [(1000, 0, "user", "other")], group=2)
-    assert len(same) == 10 and not any(None in p for p in same)
-    assert sum(1000 in p for p in same) == 1  # all but one of the 19 have a partner of the same first turn
-
-
-def test_a_conversation_alone_has_a_row(spark):
-    turns = conversations(spark, [(5, 0, "user", "q"), (5, 1, "assistant", "a")])
-    row = M.format_pairs(M.pair_by_first_turn(turns), turns).first()
-    assert (row["chosen_id"], row["rejected_id"], row["n_common"], row["usable"]) == (5, None, 0, False)
-    assert row["prompt"] == "" and row["chosen"] == "<|user|>\nq\n<|assistant|>\na\n" and row["rejected"] == row["rejected_mask"] == ""
+    rows = [(1, 0, None, None), (2, 0, "assistant", "first"), (None, 0, "user", "x"), (3, None, "user", "y"), (3, 0, "assistant", ""), (3, 0, "assistant", ""), (4, 0, "user", "z"), (4, 1, "assistant", "w " * 100_000)]
+    got = made(conversations(spark, rows))
+    assert set(got) == {1, 2, 3, 4}
+    assert got[1]["rejected_id"] is None and got[1]["prompt"] == got[1]["rejected"] == "" and got[1]["chosen"] == "<|user|>\n\n" and not got[1]["usable"]
+    assert got[2]["n_common"] == 0 and not got[2]["usable"]  # nothing in common: no prompt
+    assert got[3]["n_common"] == 2 and got[3]["chosen_mask"] == "14:14"
+    assert len(got[4]["chosen"]) == 200_000 + len("<|assistant|>\n\n")
+    assert made(conversations(spark, [])) == {}
+    alone = made(conversations(spark, [(5, 0, "user", "q"), (5, 1, "assistant", "a")]))[5]
+    assert (alone["rejected_id"], alone["n_common"], alone["usable"], alone["chosen"]) == (5, 2, False, "")
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
