@@ -130,3 +130,12 @@ def components(edges: DataFrame, small: int = SMALL_GRAPH) -> DataFrame:
         labels = new.select("node", "comp")
         if not changed:
             return labels
+
+
+def spans_sql(kind: str, order: int, pattern: str, holds: str) -> str:
+    """DuckDB's (doc_id, kind, ord, a, z) of d(doc_id, text): the matches m of a pattern for which `holds`; places come from the
+    pieces between matches."""
+    return f"""SELECT doc_id, '{kind}' AS kind, {order} AS ord, z - length(m) AS a, z FROM (
+  SELECT doc_id, m, sum(length(m) + length(gap)) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS z FROM (
+    SELECT doc_id, generate_subscripts(ms, 1) AS i, unnest(ms) AS m, unnest(gaps[1:len(ms)]) AS gap FROM (
+      SELECT doc_id, regexp_extract_all(text, '{pattern}') AS ms, regexp_split_to_array(text, '{pattern}') AS gaps FROM d))) WHERE {holds}"""

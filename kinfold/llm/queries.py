@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, licenses, line_dedup, preferences, quality, secrets
+from . import decontaminate, licenses, line_dedup, pii, preferences, quality, secrets
 from .bpe import op9_bpe
 from .decontaminate import op5_decontaminate
 from .language import op4_language
 from .licenses import op10_licenses
 from .line_dedup import op2_line_dedup
 from .near_dedup import op8_bagminhash
-from .pii import op6_pii
+from .pii import op6_pii, op6_pii_base
 from .preferences import op7_preferences
 from .quality import op3_quality
 from .secrets import op1_secrets, op1_secrets_base
@@ -29,11 +29,13 @@ QUERIES = {
     "op10_licenses": op10_licenses,
     "pipeline": corpus_pipeline.run,
     "op1_secrets_base": op1_secrets_base,
+    "op6_pii_base": op6_pii_base,
 }
 
 #: DuckDB SQL by query. The others are iterative, model-based or need a tokenizer; tests hold them against brute force.
 ORACLE: dict[str, str] = {
     "op1_secrets_base": secrets.BASE_SQL,
+    "op6_pii_base": pii.BASE_SQL,
     "op2_line_dedup": line_dedup.ORACLE_SQL,
     "op3_quality": quality.ORACLE_SQL,
     "op5_decontaminate": decontaminate.ORACLE_SQL,

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import spans_sql, table
 
 KINDS = ("assign", "access", "hex", "pem", "jwt", "der", "hexder")
 BASE_KINDS = 3
@@ -264,22 +264,14 @@ def op1_secrets_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_secrets(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
 
 
-def _spans_sql(kind: str, order: int, pattern: str, holds: str) -> str:
-    """(doc_id, kind, ord, a, z): the matches m of a pattern for which `holds`; places from the pieces between matches."""
-    return f"""SELECT doc_id, '{kind}' AS kind, {order} AS ord, z - length(m) AS a, z FROM (
-  SELECT doc_id, m, sum(length(m) + length(gap)) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS z FROM (
-    SELECT doc_id, generate_subscripts(ms, 1) AS i, unnest(ms) AS m, unnest(gaps[1:len(ms)]) AS gap FROM (
-      SELECT doc_id, regexp_extract_all(text, '{pattern}') AS ms, regexp_split_to_array(text, '{pattern}') AS gaps FROM d))) WHERE {holds}"""
-
-
 _either = lambda word: "".join(f"[{c.upper()}{c}]" for c in word)
 _ASSIGN_SQL = "(?:" + "|".join(map(_either, ("password", "passwd", "secret", "token"))) + f"|{_either('api')}_?{_either('key')}" + r""")["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 #: The rows of op1_secrets_base in DuckDB's SQL.
 BASE_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-spans AS ({_spans_sql('assign', 0, _ASSIGN_SQL, f"length(regexp_extract(m, '{_ASSIGN_SQL}', 1)) >= 6")}
-  UNION ALL {_spans_sql('access', 1, 'AKIA[A-Z0-9]+', 'length(m) >= 20')}
-  UNION ALL {_spans_sql('hex', 2, '[0-9a-f]+', 'length(m) >= 24')}),
+spans AS ({spans_sql('assign', 0, _ASSIGN_SQL, f"length(regexp_extract(m, '{_ASSIGN_SQL}', 1)) >= 6")}
+  UNION ALL {spans_sql('access', 1, 'AKIA[A-Z0-9]+', 'length(m) >= 20')}
+  UNION ALL {spans_sql('hex', 2, '[0-9a-f]+', 'length(m) >= 24')}),
 per AS (SELECT doc_id, count(*) FILTER (WHERE ord = 0) AS n0, count(*) FILTER (WHERE ord = 1) AS n1, count(*) FILTER (WHERE ord = 2) AS n2,
   string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, ord) AS s FROM spans GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex, sha256(coalesce(s, '')) AS base_sha256 FROM d LEFT JOIN per USING (doc_id)
