@@ -34,7 +34,11 @@ def indel(a: str, b: str) -> float:
 
 
 def partial(a: str, b: str) -> float:
-    """Best indel similarity of the shorter string with the windows of its length in the longer, cut ones at the edges included."""
+    """Best indel similarity of the shorter string with the windows of its length in the longer, cut ones at the edges included.
+
+    Characters that a window shares with the string, counted while it slides, bound its similarity: most windows are
+    passed over.
+    """
     if len(a) > len(b):
         a, b = b, a
     n, m = len(a), len(b)
@@ -42,15 +46,30 @@ def partial(a: str, b: str) -> float:
         return 1.0 if not m else 0.0
     if a in b:
         return 1.0
-    pieces = {b[max(0, i) : i + n] for i in range(1 - n, m)}
-    best = max(indel(a, p) for p in pieces)
-    return max(best, partial_same(a, b)) if n == m else best
+    best = _best_window(a, b)
+    return max(best, _best_window(b, a)) if n == m else best
 
 
-def partial_same(a: str, b: str) -> float:
-    """The other direction for strings of one length."""
-    n = len(a)
-    return max(indel(b, a[max(0, i) : i + n]) for i in range(1 - n, n))
+def _best_window(a: str, b: str) -> float:
+    n, m, best, common = len(a), len(b), 0.0, 0
+    free: dict[str, int] = {}  # characters of a that the window does not have
+    for c in a:
+        free[c] = free.get(c, 0) + 1
+    for i in range(1 - n, m):
+        if i + n <= m:
+            c = b[i + n - 1]
+            if c in free:
+                common += free[c] > 0
+                free[c] -= 1
+        if i > 0:
+            c = b[i - 1]
+            if c in free:
+                free[c] += 1
+                common -= free[c] > 0
+        size = min(m, i + n) - max(0, i)
+        if 2 * common > best * (n + size):
+            best = max(best, indel(a, b[max(0, i) : i + n]))
+    return best
 
 
 def token_sort(a: str, b: str) -> float:
@@ -92,14 +111,21 @@ def weighted(a: str, b: str) -> float:
     return max(straight, scale * partial(a, b), 0.95 * scale * partial_token(a, b))
 
 
+def _each_pair_once(f, a: pd.Series, b: pd.Series) -> pd.Series:
+    """f over pairs of strings; pairs that repeat in the batch are computed once."""
+    pairs = list(zip(a.fillna(""), b.fillna(""), strict=True))
+    found = {p: f(*p) for p in dict.fromkeys(pairs)}
+    return pd.Series([found[p] for p in pairs], dtype="float64")
+
+
 @F.pandas_udf(DoubleType())
 def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([indel(x, y) for x, y in zip(a.fillna(""), b.fillna(""), strict=True)], dtype="float64")
+    return _each_pair_once(indel, a, b)
 
 
 @F.pandas_udf(DoubleType())
 def wratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([weighted(x, y) for x, y in zip(a.fillna(""), b.fillna(""), strict=True)], dtype="float64")
+    return _each_pair_once(weighted, a, b)
 
 
 def jaccard(a: Column, b: Column) -> Column:

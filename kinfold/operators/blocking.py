@@ -160,7 +160,8 @@ def boundary_grams(c: Column, low: int = 3, high: int = 5) -> Column:
 def nearest_names(queries: DataFrame, targets: DataFrame, take: int = C.MAX_GRAM) -> DataFrame:
     """The `take` targets of highest TF-IDF cosine (smoothed idf, character 3- to 5-grams inside words), exact.
 
-    Cosines come from a join on grams, so only pairs that share one are made; ties go by ord.
+    Cosines come from a join on grams, so only pairs that share one are made; ties go by ord. Postings have no cap: the
+    in-memory blocker takes this block for at most GRAM_INDEX_ABOVE targets, and the gram block, which is capped, beyond.
     """
     grams = lambda df, key: df.select(key, F.explode(boundary_grams(F.col("name_n"))).alias("g")).groupBy(key, "g").agg(F.count("*").alias("tf"))
     t = grams(targets.where("name_n <> ''").select("ord", "name_n"), "ord")

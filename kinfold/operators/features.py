@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions import constants as C
 from ..functions import similarity as S
 from ..functions import text as T
 from .blocking import S1, TARGET, first_rows
 
+#: Reference records of a range whose pairs are counted together.
+RANGE = 10_000
 _FIELDS = ("name_n", "addr_n", "country_n", "name_tokens", "addr_tokens")
 
 
@@ -39,19 +42,33 @@ def with_features(pairs: DataFrame, queries: DataFrame, targets: DataFrame) -> D
 
 def batch_features(pairs: DataFrame, queries: DataFrame, targets: DataFrame) -> DataFrame:
     """The batch matcher's variants: equal strings, empty ones too, are 1 in containment; address words of four letters and
-    more outside the stop list; one postal code each."""
+    more outside the stop list; one postal code each; the ratios of equal strings, empty ones too, are 1."""
     met = sides(pairs, queries, targets)
     words = lambda c: T.address_words(F.col(f"{c}.addr_tokens"), 4)
     same = lambda f: F.col(f"a.{f}") == F.col(f"b.{f}")
     code = lambda c: T.first_postal(F.col(f"{c}.addr_n"))
+    ratio = lambda f, c: F.when(same(c), 1.0).otherwise(f(f"a.{c}", f"b.{c}"))
     own = {
+        "name_ratio": ratio(S.indel_ratio, "name_n"),
+        "name_wratio": ratio(S.wratio, "name_n"),
+        "addr_ratio": ratio(S.indel_ratio, "addr_n"),
         "name_containment": F.when(same("name_n"), 1.0).otherwise(S.containment(F.col("a.name_n"), F.col("b.name_n"))),
         "addr_containment": F.when(same("addr_n"), 1.0).otherwise(S.containment(F.col("a.addr_n"), F.col("b.addr_n"))),
         "addr_jaccard": S.jaccard(words("a"), words("b")),
         "addr_token_overlap": S.overlap(words("a"), words("b")),
         "same_postal_like": ((code("a") != "") & (code("a") == code("b"))).cast("double"),
     }
-    return met.withColumns(S.token_features() | own).drop("a", "b")
+    return met.withColumns(S.token_features() | own).select(*pairs.columns, *C.FEATURES)
+
+
+def with_probability(features: DataFrame, matcher=None, threshold: float | None = None) -> DataFrame:
+    """Adds probability and predicted: by the matcher and its threshold, or by the formula and 0.65 where there is none."""
+    if matcher is not None:
+        scored, limit = matcher.score(features), matcher.threshold
+    else:
+        p = S.fallback_probability(F.col("name_ratio"), F.col("addr_ratio"), F.col("country_exact"))
+        scored, limit = features.withColumn("probability", p), 0.65
+    return scored.withColumn("predicted", F.col("probability") >= (limit if threshold is None else threshold))
 
 
 def with_labels(pairs: DataFrame, truth: DataFrame) -> DataFrame:
@@ -78,12 +95,23 @@ def training_pairs(candidates: DataFrame, truth: DataFrame, targets: DataFrame,
 
 
 def country_negatives(queries: DataFrame, targets: DataFrame, truth: DataFrame, per_country: int = 200, share: float = 1.5) -> DataFrame:
-    """Untrue pairs with the first targets of the reference record's country, by its ord and the target's, share times the true ones."""
+    """Untrue pairs with the first targets of the reference record's country, by its ord and the target's, share times the true ones.
+
+    The cut goes by counts: pairs per reference record, summed over ranges of records, tell which record the limit falls
+    into, so that only that record's pairs are ranked; nothing is sorted as a whole.
+    """
     pool = first_rows(targets.select("country_n", "ord", F.col("entity_id").alias(TARGET)), ["country_n"], per_country, "ord")
     q = queries.select(F.col("ord").alias("q_ord"), F.col("entity_id").alias(S1), "country_n")
-    untrue = q.join(pool, "country_n").join(truth, [S1, TARGET], "left_anti")
+    untrue = q.join(pool, "country_n").join(truth.select(S1, TARGET).distinct(), [S1, TARGET], "left_anti")
     n = int(share * truth.count())
-    return untrue.orderBy("q_ord", "ord").limit(n).select(S1, TARGET, F.lit(0).alias("label"))
+    per_record = untrue.groupBy("q_ord").agg(F.count("*").alias("n"))
+    ranges = per_record.groupBy(F.floor(F.col("q_ord") / RANGE).alias("range")).agg(F.sum("n").alias("n"))
+    before_range = ranges.select("range", (F.sum("n").over(W.orderBy("range")) - F.col("n")).alias("base")).where(F.col("base") < n)  # one row per range
+    counted = per_record.withColumn("range", F.floor(F.col("q_ord") / RANGE)).join(before_range, "range")
+    before = counted.select("q_ord", (F.col("base") + F.sum("n").over(W.partitionBy("range").orderBy("q_ord")) - F.col("n")).alias("before")).where(F.col("before") < n)
+    rank = F.row_number().over(W.partitionBy("q_ord").orderBy("ord"))
+    ranked = untrue.join(before, "q_ord").withColumn("rank", rank)
+    return ranked.where(F.col("before") + F.col("rank") <= n).select(S1, TARGET, F.lit(0).alias("label"))
 
 
 def drawn_negatives(truth: DataFrame, targets: DataFrame, draws: int = 2, seed: int = 42) -> DataFrame:
@@ -111,7 +139,7 @@ def decided(scored: DataFrame, threshold: float) -> DataFrame:
 
 
 def error_reason(threshold: float = 0.74) -> tuple[Column, Column]:
-    """Reasons of false positives and of false negatives, from name_ratio, addr_ratio, country_exact, probability."""
+    """Reasons of false positives and of false negatives, from name_ratio, addr_ratio, country_exact, probability."""
     name, addr, country, p = F.col("name_ratio"), F.col("addr_ratio"), F.col("country_exact"), F.col("probability")
     false_positive = (
         F.when((name > 0.85) & (addr < 0.30), "Duplicate/Branch Name (Address Mismatch)")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources import feeds
 from .blocking import S1
 
 EXAMPLES = 5
@@ -37,6 +40,31 @@ def check_lines(lines: DataFrame, header: tuple[str, str]) -> DataFrame:
     )
 
 
+def check_file(spark: SparkSession, path: str, header: tuple[str, str], label: str) -> DataFrame:
+    """Findings on a result file, or a folder of part files of which each has the header: missing, empty, and its lines."""
+    if not feeds.exists(spark, path):
+        found = findings(spark.range(1), "missing_file", "error", F.lit(path))
+    else:
+        lines = feeds.numbered_lines(spark, [path]).select((F.col("number") + 1).alias("number"), F.array_join("f", "\t").alias("value"))
+        # Further part files repeat the header.
+        found = check_lines(lines.where((F.col("number") == 1) | (F.lower("value") != "\t".join(header))), header)
+    return found.select(F.lit(label).alias("file"), "*")
+
+
+def check_files(spark: SparkSession, matching: str, candidates: str, required: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """All findings on a pair of result files; contents are checked only where both files are there."""
+    names = {"matching": (matching, "matched_entity_ids"), "candidates": (candidates, "candidate_entity_ids")}
+    found = [check_file(spark, path, (S1, name), label) for label, (path, name) in names.items()]
+    if feeds.exists(spark, matching) and feeds.exists(spark, candidates):
+        lists = {label: feeds.read_id_lists(spark, path, name) for label, (path, name) in names.items()}
+        for label, (_, name) in names.items():
+            found.append(check_lists(lists[label], name, required, label))
+            if targets is not None:
+                found.append(check_targets(lists[label], name, targets, label))
+        found.append(check_subset(lists["matching"], lists["candidates"]))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 def check_lists(lists: DataFrame, name: str, required: DataFrame, label: str, trim: bool = True) -> DataFrame:
     """Findings on (source1_entity_id, id list): repeats, self matches, prefixes, missing and unexpected ids."""
     ids = T.parse_ids(F.col(name)) if trim else F.filter(F.split(F.coalesce(F.col(name), F.lit("")), ","), lambda x: x != "")
@@ -78,9 +106,12 @@ def missing_ids(s1: DataFrame, pairs: DataFrame) -> DataFrame:
     return s1.select(F.col("entity_id").alias(S1)).distinct().join(pairs.select(S1), S1, "left_anti")
 
 
-def assert_coverage(s1: DataFrame, pairs: DataFrame) -> None:
+def assert_coverage(s1: DataFrame, pairs: DataFrame, path: str | None = None) -> None:
+    """Raises if a reference record has no candidate; then their ids, sorted, are written to `path`."""
     n = missing_ids(s1, pairs).count()
     if n:
+        if path:
+            feeds.write_tsv(missing_ids(s1, pairs).orderBy(S1), path)
         head = [r[0] for r in missing_ids(s1, pairs).orderBy(S1).limit(EXAMPLES).collect()]
         raise AssertionError(f"{n} reference records have no candidate, e.g. {head}")
 

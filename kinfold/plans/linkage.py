@@ -125,22 +125,33 @@ def _flat(rows: DataFrame) -> DataFrame:
     return rows.select("ord", "feed", one("entity_id"), one("business_name"), one("business_address"), one("country"))
 
 
-@query(_with(Q.RECORDS) + f"SELECT entity_id, {_FLAT.format('business_name')} AS business_name, {_FLAT.format('business_address')} AS business_address, country FROM records")
+@query(
+    _with(Q.FILE_RECORDS)
+    + f"SELECT ord - 1 AS ord, feed, entity_id, {_FLAT.format('business_name')} AS business_name, {_FLAT.format('business_address')} AS business_address, coalesce(country, '') AS country FROM records"
+)
 def source_feed_tsv(spark, sf_dir):
-    """Feeds written as tab-separated files and read back without quoting."""
-    path = I.scratch(spark, "feed")
-    I.write_tsv(_flat(A.records(spark, sf_dir)).select(*I.FEED_COLUMNS), path)
-    return I.read_feed(spark, path)
+    """Feeds written as tab-separated files and read back without quoting, one after the other, in the order of their lines."""
+    return I.read_feeds(spark, write_feed_files(spark, sf_dir))
+
+
+def write_feed_files(spark, sf_dir) -> list[str]:
+    """The three feeds as folders of part files; every feed in the order of ord."""
+    rows, paths = I.settled(_flat(A.records(spark, sf_dir)), "flat"), []
+    for name in ("S1", "S2", "S3"):
+        paths.append(I.scratch(spark, f"feed-{name}"))
+        I.write_tsv(A.feed(rows, name).orderBy("ord").select(*I.FEED_COLUMNS), paths[-1])
+    return paths
 
 
 @query(
     _with(Q.RECORDS)
-    + f"""SELECT entity_id, {_FLAT.format('business_name')} AS business_name, '' AS business_address, '' AS country FROM records WHERE feed = 'S1' ORDER BY entity_id LIMIT 50"""
+    + f"""SELECT row_number() OVER (ORDER BY ord) - 1 AS ord, feed, entity_id, {_FLAT.format('business_name')} AS business_name, '' AS business_address, '' AS country
+FROM records WHERE feed = 'S1' ORDER BY ord LIMIT 50"""
 )
 def source_short_rows(spark, sf_dir):
-    """Reference rows with missing fields are padded, and the first 50 ids are taken."""
+    """Reference rows with missing fields are padded, and the first 50 rows of the file are taken."""
     path = I.scratch(spark, "short")
-    I.write_tsv(A.feed(_flat(A.records(spark, sf_dir)), "S1").select("entity_id", "business_name"), path)
+    I.write_tsv(A.feed(_flat(A.records(spark, sf_dir)), "S1").orderBy("ord").select("entity_id", "business_name"), path)
     return I.read_feed(spark, path, least_fields=1, limit=50)
 
 
@@ -389,19 +400,8 @@ def block_single_file(spark, sf_dir):
     return B.single_file(*sides(spark, sf_dir, settle=True))
 
 
-@query(
-    _with(Q.RECORDS, Q.PREPARED.replace("feed <> 'S1'", "feed <> 'S1' AND ord % 7 = 0"), Q.block("e", "nullif(name_n, '')", "nullif(name_n, '')", 10, "exact_name"), Q.fallback("fall", "e", 2, 100, 500))
-    + f"SELECT {Q.BLOCK} FROM fall"
-)
-def block_fallback(spark, sf_dir):
-    """Anchors for reference records whose exact name finds nothing among a seventh of the targets (the others are no targets here)."""
-    q, t = sides(spark, sf_dir, settle=True)
-    t = t.where("ord % 7 = 0")
-    return B.fallback(q, B.block(q, t, B.non_empty("name_n"), B.non_empty("name_n"), 10, "exact_name"), t)
-
-
 @query(_with(*_BASE, Q.block("e", "nullif(name_n, '')", "nullif(name_n, '')", 10, "exact_name"), Q.fallback("fall", "e", 2, 100, 500)) + f"SELECT {Q.BLOCK} FROM fall")
-def block_fallback_all(spark, sf_dir):
+def block_fallback(spark, sf_dir):
     """Anchors for reference records whose exact name finds nothing among all targets."""
     q, t = sides(spark, sf_dir, settle=True)
     return B.fallback(q, B.block(q, t, B.non_empty("name_n"), B.non_empty("name_n"), 10, "exact_name"), t)
@@ -470,11 +470,13 @@ def pairs_labels(spark, sf_dir):
     return X.with_labels(pairs.select(S1, TARGET), A.truth(spark, sf_dir))
 
 
-@query(_with(*_BASE, Q.TRUTH) + f"SELECT {Q.PAIRS} FROM truth WHERE s1 IN (SELECT entity_id FROM q WHERE ord % 2 = 0) AND cid IN (SELECT entity_id FROM t WHERE feed = 'S2')")
+@query(_with(*_BASE, Q.TRUTH, _EXACT) + f"SELECT {Q.PAIRS} FROM truth WHERE s1 IN (SELECT s1 FROM exact) AND cid IN (SELECT cid FROM exact)")
 def pairs_restricted_truth(spark, sf_dir):
-    """Truth between even reference records and feed S2 alone."""
+    """Truth between the records that the exact name block returns."""
     q, t = sides(spark, sf_dir)
-    return X.restricted(A.truth(spark, sf_dir), q.where("ord % 2 = 0"), A.feed(t, "S2")).select(S1, TARGET)
+    found = B.exact_name(q, t)
+    named = lambda c: found.select(F.col(c).alias("entity_id")).distinct()
+    return X.restricted(A.truth(spark, sf_dir), named(S1), named(TARGET)).select(S1, TARGET)
 
 
 _LABELLED = "labelled AS (SELECT b.s1, b.cid, b.ord, CAST(truth.s1 IS NOT NULL AS INT) AS label FROM batch b LEFT JOIN truth ON truth.s1 = b.s1 AND truth.cid = b.cid)"

@@ -14,7 +14,8 @@ from ..operators import validate as V
 from ..sources import adapters as A
 from ..sources import feeds as I
 from . import sql as Q
-from .linkage import _BASE, _BATCH, _EXACT, _LABELLED, _STAGES, ORACLE, S1, TARGET, _candidates, _with, query, sides
+from . import matching as R
+from .linkage import _BASE, _BATCH, _EXACT, _LABELLED, _STAGES, ORACLE, S1, TARGET, _candidates, _with, query, sides, write_feed_files
 
 _SETS = (Q.SETS, Q.ENTITIES)
 
@@ -195,13 +196,16 @@ def candidates_by_block(spark, sf_dir):
     return M.block_histogram(B.scalable_stages(*sides(spark, sf_dir, settle=True)))
 
 
-_MATCHED = f"matched AS (SELECT s1, cid FROM batch JOIN q a ON a.entity_id = s1 JOIN t b ON b.entity_id = cid WHERE {Q.jaccard('a.name_tokens', 'b.name_tokens')} >= 0.5)"
+_RATED = f"""found AS (SELECT s1, cid, x.ord, prio, {Q.indel('a.name_n', 'b.name_n')} AS name_ratio, {Q.indel('a.addr_n', 'b.addr_n')} AS addr_ratio,
+  CAST(a.country_n <> '' AND a.country_n = b.country_n AS DOUBLE) AS country_exact FROM batch x JOIN q a ON a.entity_id = s1 JOIN t b ON b.entity_id = cid),
+matched AS (SELECT * FROM found WHERE 0.60 * name_ratio + 0.30 * addr_ratio + 0.10 * country_exact >= 0.65)"""
+_MATCHED = _RATED
 
 
-def _matches(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Batch candidates whose name words agree by half."""
+def _scored(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Batch candidates with probability and predicted, by the batch matcher's features and the formula."""
     pairs, q, t = _candidates(spark, sf_dir)
-    return X.with_token_features(pairs, q, t).where("name_jaccard >= 0.5").select(S1, TARGET), q, t
+    return R.scored(pairs, q, t, batch=True), q, t
 
 
 @query(
@@ -210,32 +214,48 @@ def _matches(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
   CASE WHEN count(*) > 0 THEN count(*) / count(DISTINCT s1)::DOUBLE ELSE 0.0 END AS avg_matches FROM matched"""
 )
 def run_summary(spark, sf_dir):
-    matches, q, _ = _matches(spark, sf_dir)
-    return M.run_summary(q, matches)
+    rows, q, _ = _scored(spark, sf_dir)
+    return M.run_summary(q, rows.where("predicted"))
 
 
 # --- results: lists, merge, validation, repair -------------------------------------------------------------------------------------
 
-_FLAGSHIP = (
-    _with(*_BASE, *_BATCH, _MATCHED)
-    + "SELECT q.entity_id AS source1_entity_id, coalesce(string_agg(cid, ',' ORDER BY cid), '') AS matched_entity_ids FROM q LEFT JOIN matched ON s1 = q.entity_id GROUP BY q.entity_id"
-)
+_FILES = (Q.FILE_RECORDS, Q.PREPARED, *_BATCH, _RATED, Q.fallback("fall", "batch", 1, 100, 500))
+_LISTED = """, every AS (SELECT s1, cid, ord, prio FROM batch UNION ALL SELECT s1, cid, ord, 9 FROM fall),
+c AS (SELECT s1, string_agg(cid, ',' ORDER BY prio, ord) AS cids, count(*) AS n FROM every GROUP BY s1),
+m AS (SELECT s1, string_agg(cid, ',' ORDER BY prio, ord) AS mids FROM matched GROUP BY s1)
+"""
+
 
+def _result_files(spark, sf_dir) -> str:
+    """The folder of a run over the feed files: batch blocks, all features, the formula's probability."""
+    reference, *targets = write_feed_files(spark, sf_dir)
+    out = I.scratch(spark, "results")
+    R.match_files(spark, reference, targets, out, blocker="batch")
+    return out
 
-@query(_FLAGSHIP)
+
+@query(_with(*_FILES) + _LISTED + "SELECT entity_id AS source1_entity_id, coalesce(mids, '') AS matched_entity_ids, cids AS candidate_entity_ids FROM q JOIN c ON c.s1 = entity_id LEFT JOIN m ON m.s1 = entity_id")
 def flagship(spark, sf_dir):
-    """One row per reference record: batch blocking, name agreement of a half and more, ids as a list."""
-    matches, q, _ = _matches(spark, sf_dir)
-    return I.id_lists(q, matches, "matched_entity_ids")
+    """From three feed files to the two result files, read back: one row per reference record with its matches and candidates."""
+    out = _result_files(spark, sf_dir)
+    lists = lambda name, file: I.read_id_lists(spark, f"{out}/{file}", name)
+    return lists("matched_entity_ids", R.MATCHING).join(lists("candidate_entity_ids", R.CANDIDATES), S1)
 
 
-@query(_FLAGSHIP + " ORDER BY q.entity_id LIMIT 20 OFFSET 40")
+@query(
+    _with(*_FILES)
+    + _LISTED
+    + """SELECT entity_id AS source1_entity_id, coalesce(mids, '') AS matched_ids, cids AS candidate_ids, mids IS NULL AS is_singleton, n AS candidate_count
+FROM q JOIN c ON c.s1 = entity_id LEFT JOIN m ON m.s1 = entity_id ORDER BY q.ord LIMIT 20 OFFSET 40"""
+)
 def results_page(spark, sf_dir):
-    """Rows 41 to 60 of the results."""
-    from .serving import page
+    """Rows 41 to 60 of the result files, in their order, with matches and candidates."""
+    from .serving import results
 
-    matches, q, _ = _matches(spark, sf_dir)
-    return page(I.id_lists(q, matches, "matched_entity_ids"), 40, 20)
+    out = _result_files(spark, sf_dir)
+    page = results(spark, f"{out}/{R.MATCHING}", f"{out}/{R.CANDIDATES}", 40, 20)
+    return page.withColumns({c: F.array_join(c, ",") for c in ("matched_ids", "candidate_ids")})
 
 
 _BROKEN = """cands AS (SELECT entity_id AS source1_entity_id, coalesce(string_agg(cid, ',' ORDER BY cid), '') AS candidate_entity_ids, any_value(q.ord) AS ord FROM q LEFT JOIN batch ON s1 = entity_id GROUP BY entity_id),
@@ -315,10 +335,8 @@ FROM q LEFT JOIN batch ON batch.s1 = q.entity_id LEFT JOIN matched ON matched.s1
 )
 def merge_feeds(spark, sf_dir):
     """Results of both target feeds merged by reference id."""
-    pairs, q, t = _candidates(spark, sf_dir)
-    scored = X.with_token_features(pairs, q, t)
-    chunks = scored.select(S1, TARGET, B.T.feed_of(F.col(TARGET)).alias("feed"), (F.col("name_jaccard") >= 0.5).alias("matched"))
-    return V.merge_feeds(chunks, q)
+    rows, q, _ = _scored(spark, sf_dir)
+    return V.merge_feeds(rows.select(S1, TARGET, B.T.feed_of(F.col(TARGET)).alias("feed"), F.col("predicted").alias("matched")), q)
 
 
 @query(_with(*_BASE, _EXACT) + "SELECT entity_id AS source1_entity_id FROM q WHERE entity_id NOT IN (SELECT s1 FROM exact)")
@@ -436,6 +454,42 @@ def model_score(spark, sf_dir):
     return matcher.decide(X.with_features(pairs, q, t)).select(S1, TARGET, F.round("probability", 9).alias("probability"), "predicted")
 
 
+@query()
+def model_train_large(spark, sf_dir):
+    """The large-sample trainer at its fixed threshold: metrics with confusion counts, area under the curve and importances, written as JSON and read back."""
+    from ..sources.reports import read_json, write_rows
+
+    features = _training_features(spark, sf_dir).persist()
+    _, _, found = L.train_large(features, QUICK)
+    features.unpersist()
+    path = I.scratch(spark, "large")
+    write_rows(spark, [found], path)
+    again = read_json(spark, path)
+    rows = [(k, float(v)) for k, v in again.items() if k != "feature_importances"] + [(k, float(v)) for k, v in again["feature_importances"].items()]
+    return spark.createDataFrame(rows, "name string, value double")
+
+
+@query(_with(*_BASE, *_BATCH, _RATED) + f"SELECT {Q.PAIRS}, round(CAST(0.60 * name_ratio + 0.30 * addr_ratio + 0.10 * country_exact AS DOUBLE), 9) AS probability, 0.60 * name_ratio + 0.30 * addr_ratio + 0.10 * country_exact >= 0.65 AS predicted FROM found")
+def stream_matching(spark, sf_dir):
+    """Batch blocks, features and decision as a restartable stream of reference record files against static targets."""
+    from ..operators.prepare import prepare
+    from ..streaming.resume import RECORD, stream_candidates
+
+    source, sink, state = (I.scratch(spark, n) for n in ("records", "matches", "state"))
+    names = [c.split()[0] for c in RECORD.split(", ")]
+    rows = A.records(spark, sf_dir)
+    A.feed(rows, "S1").select(*names).repartition(4, "ord").write.parquet(source)
+    targets = I.settled(prepare(A.feed(rows, "S2", "S3")), "targets")
+
+    def run(batch: DataFrame) -> DataFrame:
+        queries = I.settled(prepare(batch), "queries")
+        return R.scored(R.candidates(queries, targets, "batch"), queries, targets, batch=True)
+
+    for _ in range(2):  # the second run finds nothing left to do
+        stream_candidates(spark, source, sink, state, run, files_per_batch=2).awaitTermination()
+    return spark.read.parquet(sink).select(S1, TARGET, F.round("probability", 9).alias("probability"), "predicted")
+
+
 @query(ORACLE["block_exact_name"])
 def stream_blocking(spark, sf_dir):
     """Exact name blocking as a restartable stream of reference record files against static targets."""

@@ -105,6 +105,8 @@ RECORDS = """records AS (
          coalesce(array_to_string(string_split(text, ' ')[1:4], ' '), '') AS business_name,
          coalesce(array_to_string(string_split(text, ' ')[5:14], ' '), '') || ' ' || (10000 + n_chars % 50) AS business_address,
          lang AS country, left(text, 60) AS lead FROM documents)"""
+#: The same records in the order of their feed files.
+FILE_RECORDS = RECORDS.replace("SELECT doc_id AS ord,", "SELECT row_number() OVER (ORDER BY doc_id % 3, doc_id) AS ord,", 1)
 PART_RECORDS = """records AS (
   SELECT p_partkey AS ord, 'S' || (1 + p_partkey % 3) AS feed, 'S' || (1 + p_partkey % 3) || '-' || p_partkey AS entity_id,
          p_name AS business_name, p_type AS business_address, p_brand AS country FROM part)"""
@@ -113,7 +115,7 @@ PREPARED = f"""normal AS (
 ), prepared AS (SELECT *, {tokens('name_n')} AS name_tokens, {tokens('addr_n')} AS addr_tokens FROM normal
 ), q AS (SELECT * FROM prepared WHERE feed = 'S1'), t AS (SELECT * FROM prepared WHERE feed <> 'S1')"""
 TRUTH = """truth AS (
-  SELECT a.entity_id AS s1, b.entity_id AS cid FROM records a JOIN records b ON a.lead = b.lead AND a.feed = 'S1' AND b.feed <> 'S1')"""
+  SELECT a.entity_id AS s1, b.entity_id AS cid FROM records a JOIN records b ON a.lead = b.lead AND a.ord // 1000 = b.ord // 1000 AND a.feed = 'S1' AND b.feed <> 'S1')"""
 LISTS = """truth_lists AS (
   SELECT r.ord, r.entity_id AS source1_entity_id, coalesce(string_agg(cid, ',' ORDER BY cid), '') AS matched_entity_ids
   FROM records r LEFT JOIN truth ON s1 = entity_id WHERE r.feed = 'S1' GROUP BY r.ord, r.entity_id)"""

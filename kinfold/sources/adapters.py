@@ -23,11 +23,14 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(source1_entity_id, candidate_entity_id): reference and target records whose texts start alike."""
-    r = records(spark, sf_dir).select("feed", "entity_id", "lead")
-    s1 = r.where("feed = 'S1'").select(F.col("entity_id").alias("source1_entity_id"), "lead")
-    other = r.where("feed <> 'S1'").select(F.col("entity_id").alias("candidate_entity_id"), "lead")
-    return s1.join(other, "lead").select("source1_entity_id", "candidate_entity_id")
+    """(source1_entity_id, candidate_entity_id): reference and target records of a thousand ids whose texts start alike.
+
+    The run of ids bounds the pairs of a record, however many records start alike.
+    """
+    r = records(spark, sf_dir).select("feed", "entity_id", "lead", F.floor(F.col("ord") / 1000).alias("run"))
+    s1 = r.where("feed = 'S1'").select(F.col("entity_id").alias("source1_entity_id"), "lead", "run")
+    other = r.where("feed <> 'S1'").select(F.col("entity_id").alias("candidate_entity_id"), "lead", "run")
+    return s1.join(other, ["lead", "run"]).select("source1_entity_id", "candidate_entity_id")
 
 
 def truth_lists(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,11 @@ def write_json(metrics: DataFrame, path: str) -> None:
     metrics.coalesce(1).write.mode("overwrite").json(path)
 
 
+def write_rows(spark: SparkSession, rows: list[dict], path: str) -> None:
+    """Metrics of the driver as one JSON object per line, nested ones kept."""
+    spark.createDataFrame([(json.dumps(r),) for r in rows], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def summary(metrics: DataFrame) -> str:
     """The first row as lines "name: value"."""
     row = metrics.first()

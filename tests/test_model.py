@@ -24,3 +24,7 @@ def test_train_save_load(spark, tmp_path):
     first = {r[0]: r[1] for r in matcher.score(features).select("source1_entity_id", "probability").collect()}
     assert first == {r[0]: r[1] for r in again.score(features).select("source1_entity_id", "probability").collect()}
     assert abs(sum(matcher.importances().values()) - 1) < 1e-6
+    large, sweep, found = L.train_large(features, L.Settings(trees=3, depth=2, rate=0.5))
+    held = features.count() - sum(r["n"] for r in L.split_groups(features).where("not is_val").groupBy().count().withColumnRenamed("count", "n").collect())
+    assert large.threshold == found["optimal_threshold"] == 0.88 and sweep.count() == 10 and set(found["feature_importances"]) == set(FEATURES)
+    assert sum(found[k] for k in ("true_positives", "false_positives", "true_negatives", "false_negatives")) == held and 0.9 < found["roc_auc"] <= 1

@@ -1,12 +1,16 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from kinfold.functions import similarity as S
 from kinfold.operators import blocking as B
 from kinfold.operators import features as X
 from kinfold.operators import metrics as M
 from kinfold.operators import validate as V
 from kinfold.operators.prepare import prepare
-from kinfold.plans.serving import match_records
+from kinfold.plans import matching as R
+from kinfold.plans.serving import match_records, results
 from kinfold.sources import feeds as I
 
 RAW = "ord long, feed string, entity_id string, business_name string, business_address string, country string"
@@ -106,6 +110,85 @@ def test_feed_dialect(spark, tmp_path):
     assert set(r["entity_id"] for r in I.read_feed(spark, str(path), least_fields=1).collect()) == {"S2-1", "S2-2", "S2-3"}
 
 
+def test_feeds_keep_the_order_of_their_lines(spark, tmp_path):
+    one, two = tmp_path / "one.tsv", tmp_path / "two"
+    two.mkdir()
+    head = "entity_id\tbusiness_name\tbusiness_address\tcountry\n"
+    one.write_text(head + "".join(f"S2-{i}\tn{i}\ta\tin\n" for i in range(500, 0, -1)) + "S2-x\tshort\n", encoding="utf-8")
+    for k in range(3):
+        (two / f"part-0000{k}.tsv").write_text(head + "".join(f"S3-{k}{i}\tn\ta\tin\n" for i in (3, 1, 2)), encoding="utf-8")
+    (two / "part-00003.tsv").write_bytes(b"S3-9\tbad \xff byte\ta\tin\n")
+    want = [f"S2-{i}" for i in range(500, 0, -1)] + [f"S3-{k}{i}" for k in range(3) for i in (3, 1, 2)] + ["S3-9"]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")  # many splits
+    try:
+        rows = I.read_feeds(spark, [str(one), str(two)]).orderBy("ord").collect()
+        assert [r["entity_id"] for r in rows] == want and [r["ord"] for r in rows] == list(range(len(want)))
+        assert rows[-1]["business_name"] == "bad \ufffd byte" and rows[0]["feed"] == "S2" and rows[-1]["feed"] == "S3"
+        ids = lambda **o: [r["entity_id"] for r in I.read_feeds(spark, [str(one), str(two)], **o).orderBy("ord").collect()]
+        assert ids(limit=502) == want[:502] and ids(limit_each=2) == ["S2-500", "S2-499", "S3-03", "S3-01"] and ids(limit_each=2, limit=3) == ["S2-500", "S2-499", "S3-03"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    with pytest.warns(UserWarning, match="no such feed"):
+        assert I.read_feeds(spark, [str(tmp_path / "none")]).count() == 0
+    with pytest.raises(FileNotFoundError):
+        I.read_feeds(spark, [str(tmp_path / "none")], required=True)
+
+
+def feed_files(tmp_path, **rows):
+    for name, lines in rows.items():
+        (tmp_path / f"{name}.tsv").write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\n" + "".join("\t".join(x) + "\n" for x in lines), encoding="utf-8")
+    return [str(tmp_path / f"{name}.tsv") for name in rows]
+
+
+@pytest.mark.parametrize("blocker", ["multi", "scalable", "batch", "single_file"])
+def test_from_feed_files_to_result_files(spark, tmp_path, blocker):
+    s1, s2, s3 = feed_files(
+        tmp_path, s1=[("S1-9", "Acme Tools Ltd", "12 Harbour Road", "IN"), ("S1-2", "Nowhere Matched", "x", "US"), ("S1-5", "Zeta Group", "9 Garden Lane 560001", "US"), ("S1-3", "", "", "")],
+        s2=[("S2-7", "ACME tools", "12 harbour rd", "in"), ("S2-1", "Acme Bakery", "1 Hill St", "in")], s3=[("S3-4", "Zeta Corp", "9 garden ln 560001", "us"), ("S3-1", "ACME TOOLS", "12 harbour road", "in")],
+    )
+    out = str(tmp_path / "out")
+    summary = R.match_files(spark, s1, [s2, s3], out, blocker=blocker).first()
+    page = results(spark, f"{out}/{R.MATCHING}", f"{out}/{R.CANDIDATES}").collect()
+    assert [r[B.S1] for r in page] == ["S1-9", "S1-2", "S1-5", "S1-3"]  # the order of the file
+    assert [r["matched_ids"] for r in page] == [["S2-7", "S3-1"], [], ["S3-4"], []] and [r["is_singleton"] for r in page] == [False, True, False, True]
+    assert all(r["candidate_count"] >= 1 and set(r["matched_ids"]) <= set(r["candidate_ids"]) for r in page)
+    assert (summary["total_s1"], summary["matched_s1"], summary["total_matches"]) == (4, 2, 3)
+    assert spark.read.text(f"{out}/{R.CHECKS}").count() == 0
+    assert [r[B.S1] for r in results(spark, f"{out}/{R.MATCHING}", str(tmp_path / "no"), 1, 2).collect()] == ["S1-2", "S1-5"]
+    sampled = R.match_files(spark, s1, [s2, s3], str(tmp_path / "few"), blocker=blocker, sample=1).first()
+    assert (sampled["total_s1"], sampled["matched_s1"]) == (1, 1)
+    with pytest.raises(FileNotFoundError):
+        results(spark, str(tmp_path / "no"), f"{out}/{R.CANDIDATES}")
+
+
+def test_a_record_without_candidate_is_written_down(spark, tmp_path):
+    s1, s2 = feed_files(tmp_path, s1=[("S1-2", "b", "x", "US"), ("S1-1", "a", "x", "US")], s2=[])
+    with pytest.raises(AssertionError, match="S1-1"):
+        R.match_files(spark, s1, [s2], str(tmp_path / "out"), blocker="batch")
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "out" / R.MISSING)).collect()] == [B.S1, "S1-1", "S1-2"]
+
+
+def test_checks_of_files(spark, tmp_path):
+    (tmp_path / "m.tsv").write_text(f"{B.S1}\tmatched_entity_ids\nS1-1\tS2-1,S2-1\nS1-1\t\nbad line\n", encoding="utf-8")
+    (tmp_path / "c.tsv").write_text(f"{B.S1},candidate_entity_ids\nS1-1,S2-2\n", encoding="utf-8")
+    need = spark.createDataFrame([("S1-1",), ("S1-2",)], "entity_id string")
+    rules = lambda m, c: {(r["file"], r["rule"]) for r in V.check_files(spark, str(tmp_path / m), str(tmp_path / c), need).collect()}
+    found = rules("m.tsv", "c.tsv")
+    assert {("matching", "no_tab"), ("matching", "duplicate_id"), ("matching", "duplicate_row"), ("matching", "missing_s1"), ("candidates", "comma_separated"), ("both", "not_in_candidates")} <= found
+    assert rules("m.tsv", "none.tsv") == {("candidates", "missing_file"), ("matching", "no_tab")}
+
+
+def test_partial_similarity_against_all_windows():
+    draw = random.Random(4)
+    for _ in range(300):
+        a, b = ("".join(draw.choice("abc d") for _ in range(draw.randint(0, 12))) for _ in range(2))
+        x, y = sorted((a, b), key=len)
+        every = lambda x, y: max((S.indel(x, y[max(0, i) : i + len(x)]) for i in range(1 - len(x), len(y))), default=0.0)
+        want = (1.0 if not y else 0.0) if not x else max(every(x, y), every(y, x) if len(x) == len(y) else 0.0)
+        assert S.partial(a, b) == (1.0 if x and x in y else want), (a, b)
+
+
 def test_broken_provenance_is_skipped(spark):
     rows = spark.createDataFrame([("S1-1", "not json"), ("S1-2", '[{"target_id":"S2-1","block_type":"x","blocking_key":"k","score":0.5}]')], f"{B.S1} string, provenance string")
     assert pairs(I.explode_provenance(rows)) == {("S1-2", "S2-1")}
