@@ -2,21 +2,29 @@
 
 Plan
 ----
-1. Map: documents are packed into chunks of bounded text. A chunk's texts are split into words; the chunk's
-   *distinct* words are dealt, packed by word bucket, to the bucket's partition (hot words leave a chunk once).
-2. Word table: a bucket's partition holds each word of that bucket, so each distinct word is encoded once, however
-   many chunks use it, and its ids go back to the chunk under the word's position in the chunk's word list.
-   The word's ids are decoded in the same row, by an id-to-piece join whose table has the vocabulary's size.
-3. Join by position: chunk and rows of the word table meet by chunk key; a word's ids and decoded text are placed at each
-   of its positions.
-
-Memory is bounded by the chunk (`chunk_chars`, or a single longer text) and by `table_words` entries of a bucket's word
-table; beyond that the table starts anew, which costs repeated encoding but changes no result. A chunk's key is a hash
-of its rows, so a recomputed task makes the same chunk; should the input come in another order and the chunks differ,
-words that find no ids are encoded in place.
+1. Split, once: documents are packed into chunks of bounded text. A chunk becomes one row with its distinct words and, for
+   each document, the places of its words in that list, and rows with the same distinct words by bucket.
+2. One shuffle carries both: the words go to their bucket's partition (hot words leave a chunk once), the chunk to one of
+   its own. Its files are read twice, so texts are split no second time.
+3. Word table: a bucket's partition holds each word of that bucket, so each distinct word is encoded once, however many
+   chunks use it. The word's ids meet the id-to-piece table, which has the vocabulary's size and lies in every worker, and
+   give the decoded word. Ids and decoded words go back to the chunk in the order in which its words came.
+4. Join by position: chunk and rows of the word table meet by chunk; a word's ids and decoded text are put at each of its
+   places.
+
+A table of words as plain rows would shuffle 44 million rows for 0.5 GB of documents, three times: more than the disk
+that the check tool grants, so the rows are packed by chunk and bucket.
+
+Buckets are as many as shuffle partitions, each sent by a number that Spark's hash puts into a partition of its own, and
+chunks are spread over the partitions in turn, so that partitions are even at every size. Memory is bounded by the chunk
+(`chunk_chars`, or a single longer text) and by `table_words` entries of a bucket's word table; words beyond those are
+encoded whenever they come, which changes no result. A chunk's key is a hash of its rows, so a recomputed task makes the
+same chunk; should the input come in another order after a loss, so that a chunk's words find no ids, they are encoded in
+place and counted in `n_in_place` (0 otherwise).
 
 Defined cases: null text counts as empty; empty text has no ids, n_tokens 0 and the digests of the empty string; rows
-that repeat give repeated results; a null doc_id stays null; an empty table gives an empty result.
+that repeat give repeated results; a null doc_id stays null; very long texts are a chunk of their own; other columns are not
+read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,10 +49,12 @@ WORD_PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
-DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_in_place long"
 FULL_SCHEMA = "doc_id long, ids array<int>, decoded string"
-DEALT_SCHEMA = "bucket int, chunk binary, payload binary"
-CHUNK_SCHEMA = "chunk binary, payload binary"
+SPLIT_SCHEMA = "dest long, chunk long, payload binary"
+IDS_SCHEMA = "chunk long, payload binary"
+#: Set in the keys of chunks, never in those of buckets.
+CHUNK_BIT = 1 << 62
 
 
 def _class(kind: str, below: int) -> str:
@@ -118,22 +128,22 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], chunk_chars: int) -> Iterator[tuple[bytes, list, list[str]]]:
-    """(key, doc_ids, texts) of bounded runs of rows."""
-    ids, texts, size, digest = [], [], 0, hashlib.blake2b(digest_size=16)
+def _chunks(batches: Iterator[pa.RecordBatch], chunk_chars: int) -> Iterator[tuple[int, list, list[str]]]:
+    """(hash, doc_ids, texts) of bounded runs of rows."""
+    ids, texts, size, digest = [], [], 0, hashlib.blake2b(digest_size=8)
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             text = text.as_py() or ""
             if texts and size + len(text) > chunk_chars:
-                yield digest.digest(), ids, texts
-                ids, texts, size, digest = [], [], 0, hashlib.blake2b(digest_size=16)
+                yield int.from_bytes(digest.digest()), ids, texts
+                ids, texts, size, digest = [], [], 0, hashlib.blake2b(digest_size=8)
             digest.update(f"{doc_id}:{len(text)}:".encode())
             digest.update(text.encode("utf-8", "surrogatepass"))
             ids.append(doc_id)
             texts.append(text)
             size += len(text) + 16
     if texts:
-        yield digest.digest(), ids, texts
+        yield int.from_bytes(digest.digest()), ids, texts
 
 
 def _pack(value) -> bytes:
@@ -144,6 +154,52 @@ def _unpack(payload: bytes):
     return json.loads(zlib.decompress(payload).decode("utf-8", "surrogatepass"))
 
 
+def _table_bytes(**columns: pa.Array) -> bytes:
+    sink, rows = pa.BufferOutputStream(), pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _table_of(payload: bytes) -> pa.Table:
+    with pa.ipc.open_stream(payload) as reader:
+        return reader.read_all()
+
+
+def partition_of(x: int, n: int) -> int:
+    """The partition of n that Spark's hash of the long x (Murmur3, seed 42; fixed values) chooses."""
+
+    def turned(v: int, by: int) -> int:
+        return (v << by | v >> 32 - by) & 0xFFFFFFFF
+
+    h = 42
+    for word in (x & 0xFFFFFFFF, x >> 32 & 0xFFFFFFFF):
+        h = (turned(h ^ turned(word * 0xCC9E2D51 & 0xFFFFFFFF, 15) * 0x1B873593 & 0xFFFFFFFF, 13) * 5 + 0xE6546B64) & 0xFFFFFFFF
+    h ^= 8
+    h = (h ^ h >> 16) * 0x85EBCA6B & 0xFFFFFFFF
+    h = (h ^ h >> 13) * 0xC2B2AE35 & 0xFFFFFFFF
+    h ^= h >> 16
+    return (h - (1 << 32) if h >> 31 else h) % n
+
+
+def bucket_keys(n: int) -> list[int]:
+    """For each of n partitions the smallest number that goes there."""
+    keys: dict[int, int] = {}
+    x = 0
+    while len(keys) < n:
+        keys.setdefault(partition_of(x, n), x)
+        x += 1
+    return [keys[p] for p in range(n)]
+
+
+def chunk_key(digest: int, turn: float, n: int) -> int:
+    """A key made from the chunk's hash that goes to the partition at `turn` (0 to 1) of the n."""
+    wanted, x = int(turn * n), digest % CHUNK_BIT
+    while partition_of(x | CHUNK_BIT, n) != wanted:
+        x = (x + 0x9E3779B97F4A7C15) % CHUNK_BIT
+    return x | CHUNK_BIT
+
+
 class Numbers(dict):
     """Word -> number, in order of first appearance."""
 
@@ -160,17 +216,29 @@ def _bucket_words(words, buckets: int) -> dict[int, list[str]]:
     return dealt
 
 
-def _deal(path: str, chunk_chars: int, buckets: int):
+def _split(path: str, chunk_chars: int, keys: list[int]):
+    """Rows (dest, chunk, payload): a chunk's row has dest = chunk, the words of a bucket have the bucket's key."""
+
     def run(batches):
-        vocabulary = Vocabulary.at(path)
-        for key, _, texts in _chunks(batches, chunk_chars):
-            distinct: dict[str, None] = {}
-            for text in texts:
-                distinct |= dict.fromkeys(vocabulary.words(text))
-            dealt = _bucket_words(distinct, buckets)
+        from pyspark import TaskContext
+
+        vocabulary, task = Vocabulary.at(path), TaskContext.get().partitionId()
+        for i, (digest, ids, texts) in enumerate(_chunks(batches, chunk_chars)):
+            # Steps of two irrationals visit the partitions evenly, whatever the numbers of tasks and of chunks.
+            key = chunk_key(digest, (task * 0.7548776662466927 + i * 0.5698402909980532) % 1, len(keys))
+            number = Numbers()
+            places = [np.fromiter(map(number.__getitem__, vocabulary.words(t)), np.int32) for t in texts]
+            offsets = pa.array(np.concatenate(([0], np.cumsum([len(p) for p in places]))), pa.int32())
+            documents = _table_bytes(doc_id=pa.array(ids, pa.int64()), places=pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(places))))
+            words = _table_bytes(word=pa.array(list(number), pa.string()))
+            dealt = _bucket_words(number, len(keys))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(dealt), pa.int32()), pa.array([key] * len(dealt), pa.binary()), pa.array(list(map(_pack, dealt.values())), pa.binary())],
-                names=["bucket", "chunk", "payload"],
+                [
+                    pa.array([key, *(keys[b] for b in dealt)], pa.int64()),
+                    pa.array([key] * (len(dealt) + 1), pa.int64()),
+                    pa.array([len(documents).to_bytes(8) + documents + words, *(_pack([b, w]) for b, w in dealt.items())], pa.binary()),
+                ],
+                names=["dest", "chunk", "payload"],
             )
 
     return run
@@ -193,30 +261,19 @@ def _word_table(path: str, table_words: int):
         vocabulary, known, other = Vocabulary.at(path), {}, {}
         for batch in batches:
             out = []
-            for bucket, payload in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
-                words = _unpack(payload.as_py())
+            for payload in batch.column(2):
+                bucket, words = _unpack(payload.as_py())
                 new = [w for w in words if w not in known]
-                if len(known) + len(new) > table_words:
-                    known, other, new = {}, {}, words
                 ids, decoded = _rows_of(vocabulary, new)
-                known.update(zip(new, ids, strict=True))
-                other.update((w, d) for w, d in zip(new, decoded, strict=True) if w != d)
-                out.append(_pack([bucket, ";".join(map(known.__getitem__, words)), {w: other[w] for w in words if w in other} if other else {}]))
-            yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.binary()), pa.array(out, pa.binary())], names=["chunk", "payload"])
-
-    return run
-
-
-def _store(chunk_chars: int):
-    """Chunks with their documents, compressed, one row each."""
-
-    def run(batches):
-        for key, ids, texts in _chunks(batches, chunk_chars):
-            sink = pa.BufferOutputStream()
-            rows = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
-            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-                writer.write_batch(rows)
-            yield pa.RecordBatch.from_arrays([pa.array([key], pa.binary()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "payload"])
+                extra, changed = dict(zip(new, ids, strict=True)), {w: d for w, d in zip(new, decoded, strict=True) if w != d}
+                if len(known) + len(new) <= table_words:
+                    known |= extra
+                    other |= changed
+                    extra, changed = known, other
+                else:
+                    extra, changed = extra | {w: known[w] for w in words if w in known}, other | changed
+                out.append(_pack([bucket, ";".join(map(extra.__getitem__, words)), {w: changed[w] for w in words if w in changed} if changed else {}]))
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.binary())], names=["chunk", "payload"])
 
     return run
 
@@ -226,64 +283,61 @@ def _place(path: str, buckets: int, full: bool):
 
     def run(chunks: pa.Table, dealt: pa.Table) -> pa.Table:
         release()  # what the chunk before has left
-        vocabulary = Vocabulary.at(path)
+        payload = chunks.column("payload")[0].as_py() if len(chunks) else None
+        if payload is None:
+            return pa.table({f.split()[0]: [] for f in (FULL_SCHEMA if full else DIGEST_SCHEMA).split(", ")}, schema=_arrow_schema(full))
+        size = int.from_bytes(payload[:8])
+        documents, words = _table_of(payload[8 : 8 + size]), _table_of(payload[8 + size :]).column("word").to_pylist()
         rows_of_bucket = {bucket: (ids.split(";"), other) for bucket, ids, other in (_unpack(p.as_py()) for p in dealt.column("payload"))}
-        out: dict[str, list] = {name: [] for name in ("doc_id", "ids", "decoded")} if full else {name: [] for name in ("doc_id", "n", "ids", "decoded")}
-        for k, payload in enumerate(chunks.column("payload")):
-            with pa.ipc.open_stream(payload.as_py()) as reader:
-                rows = reader.read_all()
-            if not k:  # further rows of the key are copies of the chunk
-                number = Numbers()
-                places = [np.fromiter(map(number.__getitem__, vocabulary.words(t.as_py())), np.int32) for t in rows.column("text")]
-                ids_of, decoded_of = [""] * len(number), list(number)
-                for bucket, words in _bucket_words(number, buckets).items():
-                    got, other = rows_of_bucket.pop(bucket, ((), {}))
-                    if len(got) != len(words):
-                        got, decoded = _rows_of(vocabulary, words)
-                        other = dict(zip(words, decoded, strict=True))
-                    for w, ids in zip(words, got, strict=True):
-                        ids_of[number[w]] = ids
-                    for w, text in other.items():
-                        decoded_of[number[w]] = text
-                count_of = np.fromiter((ids.count(",") + 1 for ids in ids_of), np.int64, len(ids_of))
-            for doc_id, place in zip(rows.column("doc_id").to_pylist(), places, strict=True):
-                words = place.tolist()
-                ids, decoded = ",".join(map(ids_of.__getitem__, words)), "".join(map(decoded_of.__getitem__, words))
-                out["doc_id"].append(doc_id)
-                if full:
-                    out["ids"].append(list(map(int, ids.split(","))) if words else [])
-                    out["decoded"].append(decoded)
-                else:
-                    out["n"].append(int(count_of[place].sum()))
-                    out["ids"].append(hashlib.sha256(ids.encode()).hexdigest())
-                    out["decoded"].append(hashlib.sha256(decoded.encode()).hexdigest())
-        if full:
-            return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "ids": pa.array(out["ids"], pa.list_(pa.int32())), "decoded": pa.array(out["decoded"], pa.string())})
-        return pa.table(
-            {
-                "doc_id": pa.array(out["doc_id"], pa.int64()),
-                "n_tokens": pa.array(out["n"], pa.int64()),
-                "ids_sha256": pa.array(out["ids"], pa.string()),
-                "decoded_sha256": pa.array(out["decoded"], pa.string()),
-            }
-        )
+        number, ids_of, decoded_of, in_place = {w: i for i, w in enumerate(words)}, [""] * len(words), list(words), 0
+        for bucket, own in _bucket_words(words, buckets).items():
+            got, other = rows_of_bucket.pop(bucket, ((), {}))
+            if len(got) != len(own):
+                got, decoded = _rows_of(Vocabulary.at(path), own)
+                other, in_place = dict(zip(own, decoded, strict=True)), in_place + len(own)
+            for w, ids in zip(own, got, strict=True):
+                ids_of[number[w]] = ids
+            for w, text in other.items():
+                decoded_of[number[w]] = text
+        del number, rows_of_bucket
+        count_of = np.fromiter((ids.count(",") + 1 for ids in ids_of), np.int64, len(ids_of))
+        out: list[list] = [[], [], []] if full else [[], [], [], [], []]
+        places = documents.column("places").combine_chunks()
+        for doc_id, place in zip(documents.column("doc_id").to_pylist(), places, strict=True):
+            place = place.values.to_numpy()
+            at = place.tolist()
+            ids, decoded = ",".join(map(ids_of.__getitem__, at)), "".join(map(decoded_of.__getitem__, at))
+            if full:
+                row = (doc_id, list(map(int, ids.split(","))) if at else [], decoded)
+            else:
+                row = (doc_id, int(count_of[place].sum()), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), in_place)
+            for column, value in zip(out, row, strict=True):
+                column.append(value)
+        # Further rows of the key are copies of the chunk.
+        return pa.concat_tables([pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(out, _arrow_schema(full), strict=True)], schema=_arrow_schema(full))] * len(chunks))
 
     return run
 
 
+def _arrow_schema(full: bool) -> pa.Schema:
+    if full:
+        return pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+    return pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("n_in_place", pa.int64())])
+
+
 def encode_decode(docs: DataFrame, path: str, *, full: bool = False, chunk_chars: int = 6_000_000, table_words: int = 2_000_000) -> DataFrame:
     """Token ids of every whole text and the text decoded from them: digests, or with `full` ids and text themselves.
 
     docs: doc_id, text and any other columns. path: the tokenizer file, at the same place on every executor.
     """
-    spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = bucket_keys(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    dealt = rows.mapInArrow(releasing(_deal(path, chunk_chars, buckets)), DEALT_SCHEMA)
-    ids = dealt.repartition(buckets, "bucket").mapInArrow(releasing(_word_table(path, table_words)), CHUNK_SCHEMA)
-    chunks = rows.mapInArrow(releasing(_store(chunk_chars)), CHUNK_SCHEMA)
-    placed = _place(path, buckets, full)
-    return chunks.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(placed, FULL_SCHEMA if full else DIGEST_SCHEMA)
+    both = rows.mapInArrow(releasing(_split(path, chunk_chars, keys)), SPLIT_SCHEMA).repartition(len(keys), "dest")
+    # A condition that is not deterministic stays above the shuffle, which therefore serves both sides.
+    kept = lambda c: both.where(c == (F.monotonically_increasing_id() >= 0))
+    ids = kept(F.col("dest") != F.col("chunk")).mapInArrow(releasing(_word_table(path, table_words)), IDS_SCHEMA)
+    chunks = kept(F.col("dest") == F.col("chunk"))
+    return chunks.groupBy("dest").cogroup(ids.groupBy("chunk")).applyInArrow(_place(path, len(keys), full), FULL_SCHEMA if full else DIGEST_SCHEMA)
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,10 +44,42 @@ def test_repeats_nulls_and_empty_tables(spark):
 
 
 def test_a_chunk_without_its_rows_is_encoded_in_place(library):
+    import numpy as np
     import pyarrow as pa
 
-    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["some words, other words"]})
-    chunk = pa.Table.from_batches(list(M._store(100)(iter([batch]))))
-    none = pa.table({"chunk": pa.array([], pa.binary()), "payload": pa.array([], pa.binary())})
-    row = M._place(PATH, 4, True)(chunk, none).to_pylist()[0]
-    assert row["ids"] == library.encode("some words, other words", add_special_tokens=False).ids
+    text = "some words, other words"
+    words = M.Vocabulary.at(PATH).words(text)
+    distinct = list(dict.fromkeys(words))
+    places = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(np.array([distinct.index(w) for w in words], np.int32)))
+    documents = M._table_bytes(doc_id=pa.array([1], pa.int64()), places=places)
+    chunk = pa.table({"payload": pa.array([len(documents).to_bytes(8) + documents + M._table_bytes(word=pa.array(distinct))], pa.binary())})
+    none = pa.table({"chunk": pa.array([], pa.int64()), "payload": pa.array([], pa.binary())})
+    assert M._place(PATH, 4, True)(chunk, none).to_pylist()[0]["ids"] == library.encode(text, add_special_tokens=False).ids
+    assert M._place(PATH, 4, False)(chunk, none).to_pylist()[0]["n_in_place"] == len(distinct)
+
+
+def test_texts_are_split_once_and_words_find_their_rows(spark, tmp_path):
+    frame(spark, list(enumerate(texts()))).select("doc_id", "text").write.parquet(str(tmp_path / "d"))
+    out = M.encode_decode(spark.read.parquet(str(tmp_path / "d")), PATH, chunk_chars=300)
+    assert out.agg({"n_in_place": "sum"}).first()[0] == 0
+    out.write.format("noop").mode("overwrite").save()
+    query = out._jdf.queryExecution()
+    out.collect()
+    assert "ReusedExchange" in query.executedPlan().toString()
+
+
+def test_keys_go_to_their_partitions(spark):
+    for n in (1, 4, 12, 211):
+        want = [r[0] for r in spark.range(500).selectExpr(f"pmod(hash(id * 7919000017 - 3000000), {n})").collect()]
+        assert [M.partition_of(i * 7919000017 - 3000000, n) for i in range(500)] == want
+        keys = M.bucket_keys(n)
+        assert [M.partition_of(k, n) for k in keys] == list(range(n)) and all(k < M.CHUNK_BIT for k in keys)
+        key = M.chunk_key(123456789, 0.5, n)
+        assert key & M.CHUNK_BIT and key < 2**63 and M.partition_of(key, n) == n // 2
+
+
+def test_a_very_long_text_is_a_chunk_of_its_own(spark, library):
+    long = "".join(f"w{k} " for k in range(60_000))
+    rows = {r["doc_id"]: r for r in M.encode_decode(frame(spark, [(1, long), (2, "short"), (3, long)]), PATH, full=True, chunk_chars=1000).collect()}
+    ids = library.encode(long, add_special_tokens=False).ids
+    assert rows[1]["ids"] == rows[3]["ids"] == ids and rows[1]["decoded"] == long and rows[2]["decoded"] == "short"

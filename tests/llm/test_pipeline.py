@@ -52,7 +52,7 @@ def test_stages(spark, tmp_path):
         docs = spark.read.parquet(str(tmp_path / str(k)))
         if k == len(P.STAGES) - 1:
             assert sorted(r["doc_id"] for r in docs.collect()) == sorted(i for i, _ in before)
-            assert docs.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            assert docs.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_in_place"]
             break
         assert docs.columns == columns
         after = [(r["doc_id"], r["text"]) for r in docs.collect()]
