@@ -14,8 +14,11 @@ by how many blocks of the whole corpus hold them, rarest first (ties by the word
 The filters only drop blocks that cannot meet the template, so the join is exact. The corpus pass that counts words keeps
 template words alone: its result, and what is sent to the tasks, is bounded by the templates.
 
+Templates of fewer than LEAST_WORDS distinct words take no part: so few words stand together by chance.
+
 Defined cases: null and empty texts: no words, no places, labels '', score 0. A text's labels do not depend on other rows'
-order; repeated rows repeat their results; an empty table gives an empty result.
+order; repeated rows repeat their results; very long texts are linear work of one row; other columns are not read; an empty
+table gives an empty result. The pass that counts words runs while the result is built.
 """
 
 from __future__ import annotations
@@ -34,21 +37,29 @@ WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Phrases and their labels (fixed values).
 PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 THRESHOLD = 0.85
+#: Templates of fewer distinct words would be met by chance and take no part.
+LEAST_WORDS = 12
 #: Label -> notices (fixed values: the customary wording of public licenses).
 TEMPLATES = (
-    ("mit", "Released under the MIT License."),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, "
             "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, "
             "sublicense, and/or sell copies of the Software"),
-    ("apache-2", "Licensed under the Apache License, Version 2.0."),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("apache-2", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
     ("apache-2", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("apache-2", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+                 "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
     ("gpl-3", "This work is licensed under the GNU General Public License, version 3."),
     ("gpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
               "as published by the Free Software Foundation, either version 3 of the License, or any later version."),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("bsd", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+            "software without specific prior written permission."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+            "above copyright notice and this permission notice appear in all copies."),
+    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+              "file, You can obtain one at https://mozilla.org/MPL/2.0/."),
 )
 SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
@@ -73,7 +84,9 @@ def blocks(text: str) -> list[str]:
 
 
 def template_sets(templates) -> list[tuple[str, frozenset]]:
-    return [(label, frozenset(WORD.findall(lowered(notice)))) for label, notice in templates]
+    """(label, distinct words) of the templates that are long enough."""
+    found = [(label, frozenset(WORD.findall(lowered(notice)))) for label, notice in templates]
+    return [(label, words) for label, words in found if len(words) >= LEAST_WORDS]
 
 
 class Join:

@@ -64,6 +64,14 @@ def test_against_brute_force(spark):
     assert labelled > 30
 
 
+def test_a_few_words_are_no_template(spark):
+    docs = [(1, "Acme is licensed. Look under 4 chairs, cc the boss by noon, nc 0 percent."), (2, "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.")]
+    rows = {r["doc_id"]: (r["labels"], r["score"]) for r in M.scan_licenses(frame(spark, docs)).collect()}
+    assert rows == {1: ("", 0.0), 2: ("cc-by-nc", 1.0)}
+    assert all(len(words) >= M.LEAST_WORDS for _, words in M.template_sets(M.TEMPLATES)) and len(M.template_sets(M.TEMPLATES)) == len(M.TEMPLATES)
+    assert M.template_sets([("x", "a few words")]) == []
+
+
 def test_edge_cases(spark):
     rows = M.scan_licenses(frame(spark)).collect()
     assert len(rows) == 10 and all(r["n_base"] == 0 and r["labels"] == "" and r["score"] == 0 for r in rows)
