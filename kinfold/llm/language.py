@@ -40,14 +40,19 @@ SAMPLE_ROWS, SAMPLE_CHARS, EPOCHS = 4_000, 20_000_000, 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 2e-4, 1e-4
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 #: Numerals that are word characters to Python, but no letters.
-_NUMERALS = "".join(chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) in ("Nl", "No"))
-_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMERALS}]+")
+_NUMERALS = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) in ("Nl", "No")]
+#: Character sets within the first 65536 code points are looked up in a table, others are gone through: three patterns.
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
+_NOT_LETTERS_LOW = re.compile(rf"[\W\d_{''.join(c for c in _NUMERALS if c < chr(0x10000))}]+")
+_NOT_LETTERS_ALL = re.compile(rf"[\W\d_{''.join(_NUMERALS)}]+")
+_has_high = re.compile("[\U00010000-\U0010ffff]").search
 _SALTS = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
 
 
 def buckets(text: str) -> np.ndarray:
     """Hashed n-grams of a text, with repeats; empty if it has no letter (category L)."""
-    clean = _NOT_LETTERS.sub(" ", text).strip().lower()
+    pattern = _NOT_LETTERS if text.isascii() else _NOT_LETTERS_ALL if _has_high(text) else _NOT_LETTERS_LOW
+    clean = pattern.sub(" ", text).strip().lower()
     if not clean:
         return np.empty(0, np.int64)
     codes = np.frombuffer(f" {clean} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint32)
@@ -123,9 +128,11 @@ class Model:
 
     def probabilities(self, found: np.ndarray) -> np.ndarray:
         """Of the languages, for a text's n-grams."""
-        count = np.bincount(self.row[found], minlength=len(self.weights))
-        at = np.flatnonzero(count) if len(found) < len(count) else slice(None)
-        return softmax((count[at] @ self.weights[at]).astype(np.float64) / len(found) / self.heat)
+        if len(found) < len(self.weights):
+            sums = self.weights[self.row[found]].sum(axis=0, dtype=np.float64)
+        else:
+            sums = np.bincount(self.row[found], minlength=len(self.weights)) @ self.weights.astype(np.float64)
+        return softmax(sums / len(found) / self.heat)
 
 
 def fit(rows: list[tuple[str, str]], idf: np.ndarray) -> Model:
