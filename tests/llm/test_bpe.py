@@ -50,9 +50,8 @@ def test_a_chunk_without_its_rows_is_encoded_in_place(library):
     text = "some words, other words"
     words = M.Vocabulary.at(PATH).words(text)
     distinct = list(dict.fromkeys(words))
-    places = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(np.array([distinct.index(w) for w in words], np.int32)))
-    documents = M._table_bytes(doc_id=pa.array([1], pa.int64()), places=places)
-    chunk = pa.table({"payload": pa.array([len(documents).to_bytes(8) + documents + M._table_bytes(word=pa.array(distinct))], pa.binary())})
+    payload = M._chunk_payload([1], [np.array([distinct.index(w) for w in words], np.int32)], distinct)
+    chunk = pa.table({"payload": pa.array([payload], pa.binary())})
     none = pa.table({"chunk": pa.array([], pa.int64()), "payload": pa.array([], pa.binary())})
     assert M._place(PATH, 4, True)(chunk, none).to_pylist()[0]["ids"] == library.encode(text, add_special_tokens=False).ids
     assert M._place(PATH, 4, False)(chunk, none).to_pylist()[0]["n_in_place"] == len(distinct)
