@@ -9,96 +9,103 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..sources import feeds
-from .blocking import S1
+from .blocking import S1, first_rows
 
 EXAMPLES = 5
 
 
-def findings(rows: DataFrame, rule: str, severity: str, subject: Column) -> DataFrame:
-    """(rule, severity, n, examples) of the distinct subjects, the first five as examples; no row if there are none.
+def broken(rows: DataFrame, rule: str, severity: str, subject: Column, label: str = "") -> DataFrame:
+    """(file, rule, severity, x): what breaks a rule."""
+    return rows.select(F.lit(label).alias("file"), F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), subject.cast("string").alias("x"))
 
-    The examples are the head of a sort, not of a collected list, so a rule that everything breaks stays bounded.
+
+def findings(*parts: DataFrame) -> DataFrame:
+    """(file, rule, severity, n, examples) of the distinct subjects of each rule, the first five as examples.
+
+    All rules share one shuffle of their subjects; the examples are the head of a rank, of which every task keeps five rows
+    of a rule, so a rule that everything breaks stays bounded.
     """
-    broken = rows.select(subject.alias("x")).distinct()
-    n = broken.agg(F.count("*").alias("n"))
-    head = broken.orderBy("x").limit(EXAMPLES).agg(F.array_join(F.array_sort(F.collect_list("x")), ",").alias("examples"))
-    return n.crossJoin(head).where("n > 0").select(F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), "n", "examples")  # one row each
+    key = ["file", "rule", "severity"]
+    every = functools.reduce(DataFrame.unionByName, parts).distinct()
+    n = every.groupBy(*key).agg(F.count("*").alias("n"))
+    head = first_rows(every, key, EXAMPLES, "x").groupBy(*key).agg(F.array_join(F.array_sort(F.collect_list("x")), ",").alias("examples"))
+    return n.join(head, key)  # a row for each rule
 
 
-def check_lines(lines: DataFrame, header: tuple[str, str]) -> DataFrame:
-    """Findings on raw lines (value, number from 1): empty file, separator, header, rows without a tab."""
+def broken_lines(lines: DataFrame, header: tuple[str, str], label: str = "") -> list[DataFrame]:
     first = lines.where("number = 1")
     cells = F.transform(F.split(F.lower("value"), "\t"), lambda c: F.trim(c))
     no_tab = ~F.contains(F.col("value"), F.lit("\t"))
     commas = no_tab & F.contains(F.col("value"), F.lit(","))
     empty = lines.agg(F.count("*").alias("c")).where("c = 0")
-    return (
-        findings(empty, "empty_file", "error", F.lit(""))
-        .unionByName(findings(first.where(commas), "comma_separated", "error", F.col("value")))
-        .unionByName(findings(first.where(~commas & (cells != F.array(*map(F.lit, header)))), "header", "error", F.col("value")))
-        .unionByName(findings(lines.where(F.col("number") > 1).where(no_tab & (F.trim("value") != "")), "no_tab", "error", F.col("value")))
-    )
+    return [
+        broken(empty, "empty_file", "error", F.lit(""), label),
+        broken(first.where(commas), "comma_separated", "error", F.col("value"), label),
+        broken(first.where(~commas & (cells != F.array(*map(F.lit, header)))), "header", "error", F.col("value"), label),
+        broken(lines.where(F.col("number") > 1).where(no_tab & (F.trim("value") != "")), "no_tab", "error", F.col("value"), label),
+    ]
+
+
+def check_lines(lines: DataFrame, header: tuple[str, str]) -> DataFrame:
+    """Findings on raw lines (value, number from 1): empty file, separator, header, rows without a tab."""
+    return findings(*broken_lines(lines, header)).drop("file")
 
 
-def check_file(spark: SparkSession, path: str, header: tuple[str, str], label: str) -> DataFrame:
-    """Findings on a result file, or a folder of part files of which each has the header: missing, empty, and its lines."""
+def broken_file(spark: SparkSession, path: str, header: tuple[str, str], label: str) -> list[DataFrame]:
+    """What is wrong with a result file, or a folder of part files of which each has the header: missing, empty, its lines."""
     if not feeds.exists(spark, path):
-        found = findings(spark.range(1), "missing_file", "error", F.lit(path))
-    else:
-        lines = feeds.numbered_lines(spark, [path]).select((F.col("number") + 1).alias("number"), F.array_join("f", "\t").alias("value"))
-        # Further part files repeat the header.
-        found = check_lines(lines.where((F.col("number") == 1) | (F.lower("value") != "\t".join(header))), header)
-    return found.select(F.lit(label).alias("file"), "*")
+        return [broken(spark.range(1), "missing_file", "error", F.lit(path), label)]
+    lines = feeds.numbered_lines(spark, [path]).select((F.col("number") + 1).alias("number"), F.array_join("f", "\t").alias("value"))
+    # Further part files repeat the header.
+    return broken_lines(lines.where((F.col("number") == 1) | (F.lower("value") != "\t".join(header))), header, label)
 
 
 def check_files(spark: SparkSession, matching: str, candidates: str, required: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """All findings on a pair of result files; contents are checked only where both files are there."""
     names = {"matching": (matching, "matched_entity_ids"), "candidates": (candidates, "candidate_entity_ids")}
-    found = [check_file(spark, path, (S1, name), label) for label, (path, name) in names.items()]
+    found = [part for label, (path, name) in names.items() for part in broken_file(spark, path, (S1, name), label)]
     if feeds.exists(spark, matching) and feeds.exists(spark, candidates):
         lists = {label: feeds.read_id_lists(spark, path, name) for label, (path, name) in names.items()}
         for label, (_, name) in names.items():
-            found.append(check_lists(lists[label], name, required, label))
+            found += broken_lists(lists[label], name, required, label)
             if targets is not None:
-                found.append(check_targets(lists[label], name, targets, label))
-        found.append(check_subset(lists["matching"], lists["candidates"]))
-    return functools.reduce(DataFrame.unionByName, found)
+                found.append(unknown_targets(lists[label], name, targets, label))
+        found.append(loose_matches(lists["matching"], lists["candidates"]))
+    return findings(*found)
 
 
-def check_lists(lists: DataFrame, name: str, required: DataFrame, label: str, trim: bool = True) -> DataFrame:
-    """Findings on (source1_entity_id, id list): repeats, self matches, prefixes, missing and unexpected ids."""
+def broken_lists(lists: DataFrame, name: str, required: DataFrame, label: str, trim: bool = True) -> list[DataFrame]:
+    """Of (source1_entity_id, id list): repeats, self matches, prefixes, missing and unexpected ids."""
     ids = T.parse_ids(F.col(name)) if trim else F.filter(F.split(F.coalesce(F.col(name), F.lit("")), ","), lambda x: x != "")
     rows = lists.select(S1, ids.alias("ids"))
     need = required.select(F.col("entity_id").alias(S1)).distinct()
-    seen = rows.select(S1).distinct()
+    seen = rows.groupBy(S1).agg(F.count("*").alias("c"))
     each = rows.select(S1, F.explode("ids").alias("id"))
     feed = T.feed_of(F.col("id"))
-    repeated = rows.groupBy(S1).agg(F.count("*").alias("c")).where("c > 1")
-    found = (
-        findings(repeated, "duplicate_row", "error", F.col(S1))
-        .unionByName(findings(rows.where(F.size("ids") != F.size(F.array_distinct("ids"))), "duplicate_id", "error", F.col(S1)))
-        .unionByName(findings(each.where(feed == "S1"), "self_match", "error", F.col("id")))
-        .unionByName(findings(each.where(feed == "other"), "wrong_prefix", "error", F.col("id")))
-        .unionByName(findings(need.join(seen, S1, "left_anti"), "missing_s1", "error", F.col(S1)))
-        .unionByName(findings(seen.join(need, S1, "left_anti"), "unexpected_s1", "error", F.col(S1)))
-    )
-    return found.select(F.lit(label).alias("file"), "*")
+    return [
+        broken(seen.where("c > 1"), "duplicate_row", "error", F.col(S1), label),
+        broken(rows.where(F.size("ids") != F.size(F.array_distinct("ids"))), "duplicate_id", "error", F.col(S1), label),
+        broken(each.where(feed == "S1"), "self_match", "error", F.col("id"), label),
+        broken(each.where(feed == "other"), "wrong_prefix", "error", F.col("id"), label),
+        broken(need.join(seen, S1, "left_anti"), "missing_s1", "error", F.col(S1), label),
+        broken(seen.join(need, S1, "left_anti"), "unexpected_s1", "error", F.col(S1), label),
+    ]
 
 
 def pairs_of(lists: DataFrame, name: str) -> DataFrame:
     return lists.select(S1, F.explode(F.array_distinct(T.parse_ids(F.col(name)))).alias("id"))
 
 
-def check_subset(matches: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Finding: reference records with matches that are no candidates."""
+def loose_matches(matches: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Reference records with matches that are no candidates."""
     loose = pairs_of(matches, "matched_entity_ids").join(pairs_of(candidates, "candidate_entity_ids"), [S1, "id"], "left_anti")
-    return findings(loose, "not_in_candidates", "warning", F.col(S1)).select(F.lit("both").alias("file"), "*")
+    return broken(loose, "not_in_candidates", "warning", F.col(S1), "both")
 
 
-def check_targets(lists: DataFrame, name: str, targets: DataFrame, label: str) -> DataFrame:
-    """Finding: ids that no target feed holds."""
+def unknown_targets(lists: DataFrame, name: str, targets: DataFrame, label: str) -> DataFrame:
+    """Ids that no target feed holds."""
     unknown = pairs_of(lists, name).join(targets.select(F.col("entity_id").alias("id")), "id", "left_anti")
-    return findings(unknown, "unknown_target", "error", F.col("id")).select(F.lit(label).alias("file"), "*")
+    return broken(unknown, "unknown_target", "error", F.col("id"), label)
 
 
 def missing_ids(s1: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -294,8 +294,8 @@ def _broken(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
 def validation_report(spark, sf_dir):
     """All findings on faulty match lists."""
     q, t, cands, matches = _broken(spark, sf_dir)
-    report = V.check_lists(matches, "matched_entity_ids", q, "matching")
-    return report.unionByName(V.check_subset(matches, cands)).unionByName(V.check_targets(matches, "matched_entity_ids", t, "matching"))
+    lists = V.broken_lists(matches, "matched_entity_ids", q, "matching")
+    return V.findings(*lists, V.loose_matches(matches, cands), V.unknown_targets(matches, "matched_entity_ids", t, "matching"))
 
 
 @query(
