@@ -23,7 +23,7 @@ Plan (DataFrame functions only)
    number of it: that is an interval of s, so the weighted overlap of every window is a running sum of interval ends.
 
 Recall. At similarity 0.8 two fingerprints differ in 9.7 of 64 bits on average, and 97 % of such pairs lie within the
-radius; at 0.9 all but one in 10^6 do (tests measure both). Hash collisions of shingles are not looked for.
+radius; at 0.9 all but two in 10^4 do (tests measure both). Hash collisions of shingles are not looked for.
 
 Defined cases: items and documents of fewer than five words have no shingle and never match; null text counts as empty;
 very long and repetitive texts cost in proportion to their length; rows of the same doc_id and text are one document
