@@ -75,3 +75,12 @@ def test_every_language_is_a_class(spark):
     taught = {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 3 != 1}
     assert len(taught) > 1050 and taught - {r["lang_pred"] for r in got} == set()
     assert np.mean([r["lang_pred"] == rows[r["doc_id"]][2] for r in got]) > 0.95
+
+
+def test_held_out_accuracy_on_the_table(spark):
+    from kinfold.llm import queries
+
+    folder = "/root/testdata/sf0.01"
+    truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang").collect()}
+    held = [r for r in queries.QUERIES["op4_language"](spark, folder).collect() if r["held_out"] and r["lang_pred"] != "und"]
+    assert len(held) > 200 and np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in held]) > 0.97

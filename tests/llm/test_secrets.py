@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import json
+import random
 import re
 
 from kinfold.llm import secrets as M
@@ -80,6 +81,36 @@ def test_wrapped_and_url_safe_keys():
     assert [k for k in kinds(armour) if k in ("pem", "der")] == ["pem"]
 
 
+def test_confirmed_spans_against_planted_ones():
+    """Keys and tokens of random sizes and dresses among look-alikes: exactly the planted spans are confirmed."""
+    draw = random.Random(11)
+    part = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
+    for _ in range(300):
+        text, want = "", []
+        for _ in range(draw.randint(1, 6)):
+            text += draw.choice(["plain words ", "MAMA and MII ", "line\n", "eyJ.x.y ", "x = ", "Mixed3 ", "30 30aa "])
+            small = der(0x30, number(0), der(0x30, der(6, bytes(draw.randint(3, 9)))), der(4, bytes(draw.randrange(256) for _ in range(draw.randint(30, 400)))))
+            key = draw.choice([small, der(0x30, number(1), der(4, bytes(draw.randrange(256) for _ in range(draw.randint(24, 90))))), KEY])
+            body, kind = draw.choice([b64(key), base64.urlsafe_b64encode(key).decode()]), 5
+            shape = draw.randrange(7)
+            if shape == 0:
+                body = "\n".join(body[k : k + 64] for k in range(0, len(body), 64))
+            elif shape == 1:
+                body, kind = key.hex(), 6
+            elif shape == 2:
+                body, kind = f"{part({'alg': 'none'})}.{part({'n': draw.randrange(999)})}.{'s' * draw.randint(0, 9)}", 4
+            elif shape == 3:
+                body, kind = f"-----BEGIN PRIVATE KEY-----\n{b64(key)}\n-----END PRIVATE KEY-----", 3
+            elif shape == 4:  # a length that does not fit
+                body, kind = b64(key[:-1]).rstrip("="), None
+            elif shape == 5:  # another tag
+                body, kind = b64(b"\x31" + key[1:]), None
+            if kind is not None:
+                want.append((len(text), kind, len(text) + len(body)))
+            text += body + " "
+        assert [x for x in M.find_secrets(text) if x[1] >= M.BASE_KINDS] == want, text
+
+
 def test_signed_tokens():
     part = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
     token = f"{part({'alg': 'HS256'})}.{part({'sub': 1})}.c2ln"
