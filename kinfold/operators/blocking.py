@@ -14,8 +14,12 @@ from pyspark.sql import Window as W
 from ..functions import constants as C
 from ..functions import similarity as S
 from ..functions import text as T
+from ..functions.nearest import FOUND, nearest_in_block
+from ..sources.feeds import settled
 
 S1, TARGET = "source1_entity_id", "candidate_entity_id"
+#: Distinct names that a task of nearest_names holds: with their grams, some 20 and 150 MB.
+QUERY_BLOCK, TARGET_BLOCK = 16_384, 65_536
 
 
 def first_rows(df: DataFrame, by: list[str], n: int, *order: Column | str) -> DataFrame:
@@ -158,28 +162,49 @@ def boundary_grams(c: Column, low: int = 3, high: int = 5) -> Column:
 
 
 def nearest_names(queries: DataFrame, targets: DataFrame, take: int = C.MAX_GRAM) -> DataFrame:
-    """The `take` targets of highest TF-IDF cosine (smoothed idf, character 3- to 5-grams inside words), exact.
+    """The `take` targets of highest TF-IDF cosine (smoothed idf, character 3- to 5-grams inside words), exact; ties go by ord.
 
-    Cosines come from a join on grams, so only pairs that share one are made; ties go by ord. Postings have no cap: the
-    in-memory blocker takes this block for at most GRAM_INDEX_ABOVE targets, and the gram block, which is capped, beyond.
+    Equal names are one vector: its cosines are computed once, and it stands for its first `take` targets, as no other one can come
+    in. Vectors are written once and dealt into blocks; each block of queries meets each block of targets in one task, which sums
+    the postings of all grams of a query (nearest_in_block). No row is made for a pair and nothing is cut before its cosine is
+    known. The sums grow with the product of distinct names, as does what is shuffled, at a copy of the targets per QUERY_BLOCK.
     """
-    grams = lambda df, key: df.select(key, F.explode(boundary_grams(F.col("name_n"))).alias("g")).groupBy(key, "g").agg(F.count("*").alias("tf"))
-    t = grams(targets.where("name_n <> ''").select("ord", "name_n"), "ord")
-    df = t.groupBy("g").agg(F.count("*").alias("df"))
-    n = targets.agg(F.count("*").alias("n"))
-    idf = df.crossJoin(F.broadcast(n)).select("g", (F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))  # n is one row
 
-    def normed(rows: DataFrame, key: str) -> DataFrame:
-        weighted = rows.join(idf, "g").select(key, "g", (F.col("tf") * F.col("idf")).alias("w"))
-        norm = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-        return weighted.join(norm, key).select(key, "g", (F.col("w") / F.col("norm")).alias("w"))
+    def named(df: DataFrame, key: str) -> DataFrame:
+        """(key, names): the names of a key, one but where keys repeat."""
+        return df.where("name_n <> ''").groupBy(F.col(key).alias("key")).agg(F.array_sort(F.collect_list("name_n")).alias("names"))
+
+    def grams(vectors: DataFrame) -> DataFrame:
+        each = vectors.select("vector", "n", F.explode(F.flatten(F.transform("names", lambda c: boundary_grams(c)))).alias("g"))
+        return each.groupBy("vector", "n", "g").agg(F.count("*").alias("tf"))
 
-    q = normed(grams(queries.where("name_n <> ''").select(F.col("entity_id").alias(S1), "name_n"), S1), S1)
-    cosine = q.join(normed(t, "ord").withColumnRenamed("w", "v"), "g").groupBy(S1, "ord").agg(F.sum(F.col("w") * F.col("v")).alias("cosine"))
+    def normed(rows: DataFrame) -> DataFrame:
+        weight = F.col("tf") * F.col("idf")
+        lists = rows.join(idf, "g").groupBy("vector").agg(F.collect_list(F.struct("g", weight.alias("w"))).alias("p"), F.sqrt(F.sum(weight * weight)).alias("norm"))
+        return lists.where("vector is not null").select("vector", F.col("p.g").alias("keys"), F.transform("p.w", lambda w: w / F.col("norm")).alias("weights"))
+
+    filed, asked = named(targets, "ord"), named(queries, "entity_id").where("key is not null")
+    vectors = lambda rows: rows.groupBy("names").agg(F.count("*").alias("n"), F.min("key").alias("vector"))
+    t, q = grams(vectors(filed)), grams(vectors(asked))
+    df = t.groupBy("g").agg(F.sum("n").alias("df"))
+    n = targets.agg(F.count("*").alias("n"))
+    idf = df.crossJoin(F.broadcast(n)).select("g", (F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))  # n is one row
+    first = first_rows(filed.where("key is not null"), ["names"], take, "key").groupBy("names").agg(F.array_sort(F.collect_list("key")).alias("ords"))
+    held = settled(normed(t).join(first.select(F.col("ords")[0].alias("vector"), "ords"), "vector"), "targets")
+    sought = settled(normed(q), "queries")
+
+    across, down = (max(1, -(-rows.count() // most)) for rows, most in ((sought, QUERY_BLOCK), (held, TARGET_BLOCK)))
+    block_of = lambda blocks: F.pmod(F.xxhash64("vector"), F.lit(blocks)).cast("int")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    left = sought.select(block_of(across).alias("a"), every(down).alias("b"), F.col("vector").alias("query"), "keys", "weights")
+    right = held.select(every(across).alias("a"), block_of(down).alias("b"), "ords", "keys", "weights")
+    found = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInArrow(nearest_in_block(take), FOUND)
     # Rounded, so that the order of summation does not decide ties.
-    best = first_rows(cosine.withColumn("cosine", F.round("cosine", 9)), [S1], take, F.col("cosine").desc(), "ord")
+    best = first_rows(found.withColumn("cosine", F.round("cosine", 9)), ["query"], take, F.col("cosine").desc(), "ord")
     ids = targets.select("ord", F.col("entity_id").alias(TARGET))
-    return best.join(ids, "ord").select(S1, TARGET, "ord", F.lit("nearest_name").alias("block_type"), F.format_number("cosine", 6).alias("blocking_key"))
+    members = asked.join(vectors(asked), "names").select(F.col("vector").alias("query"), F.col("key").alias(S1))
+    met = best.join(ids, "ord").join(members, "query")
+    return met.select(S1, TARGET, "ord", F.lit("nearest_name").alias("block_type"), F.format_number("cosine", 6).alias("blocking_key"))
 
 
 # --- the scalable blocker ------------------------------------------------------------------------------------------------

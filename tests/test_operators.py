@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +44,66 @@ def test_blocks(world):
     assert ("S1-1", "S2-1") in pairs(B.nearest_names(q, t, take=1))
 
 
+def most_rows(spark, run):
+    """The largest row count of any plan node of the SQL executions that run starts."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before, most = store.executionsCount(), 0
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    done = store.executionsList()
+    for k in range(before, done.size()):
+        values, nodes = store.executionMetrics(done.apply(k).executionId()), store.planGraph(done.apply(k).executionId()).allNodes()
+        for metrics in (nodes.apply(i).metrics() for i in range(nodes.size())):
+            for m in (metrics.apply(i) for i in range(metrics.size())):
+                if m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                    most = max(most, int(values.apply(m.accumulatorId()).replace(",", "")))
+    return most
+
+
+def test_nearest_names_makes_no_rows_for_pairs(spark):
+    """Copies and common words: 300 x 600 pairs share every gram; rows grow with the records, not with the pairs."""
+    name = lambda i: "common tools" if i % 3 else f"common tools {i}"
+    q = records(spark, *[(f"S1-{i}", name(i), "", "in") for i in range(300)])
+    t = records(spark, *[(f"S2-{i}", name(i), "", "in") for i in range(600)])
+    found = []
+    assert most_rows(spark, lambda: found.extend(B.nearest_names(q, t).collect())) < 20_000
+    assert len(found) == 3000
+    assert [r["ord"] for r in sorted(found, key=lambda r: r["ord"]) if r[B.S1] == "S1-1"] == [1, 2, 4, 5, 7, 8, 10, 11, 13, 14]
+
+
+@pytest.mark.parametrize("take", [1, 10])
+def test_nearest_names_against_brute_force(spark, monkeypatch, take):
+    """Copies, ties, unknown grams, empty names, and vectors in many blocks."""
+    monkeypatch.setattr(B, "QUERY_BLOCK", 9)
+    monkeypatch.setattr(B, "TARGET_BLOCK", 13)
+    draw = random.Random(5)
+    words = ["tea", "teas", "seat", "a", "rose", "roses", "eros", "zz", "market"]
+    name = lambda: " ".join(draw.choice(words) for _ in range(draw.randint(0, 3)))
+    q = [(f"S1-{i}", name(), "", "in") for i in range(60)] + [("S1-90", "qqqq", "", "in"), ("S1-91", "qqqq rose", "", "in")]
+    t = [(f"S2-{i}", name(), "", "in") for i in range(150)]
+
+    def counts(text):
+        padded = [f" {w} " for w in text.split()]
+        return Counter(w[i : i + n] for w in padded for n in (3, 4, 5) for i in range(len(w) - n + 1))
+
+    bags = [counts(r[1]) for r in t]
+    df = Counter(g for b in bags for g in b)
+    idf = {g: math.log((1 + len(t)) / (1 + n)) + 1 for g, n in df.items()}
+
+    def vector(bag):
+        w = {g: n * idf[g] for g, n in bag.items() if g in idf}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        return {g: x / norm for g, x in w.items()}
+
+    vectors, want = [vector(b) for b in bags], set()
+    for row in q:
+        v = vector(counts(row[1]))
+        near = sorted((-round(sum(x * u[g] for g, x in v.items() if g in u), 9), k) for k, u in enumerate(vectors) if v.keys() & u.keys())
+        want |= {(row[0], t[k][0], k, f"{-c:.6f}") for c, k in near[:take]}
+    got = B.nearest_names(records(spark, *q), records(spark, *t), take).collect()
+    assert len(got) == len(want) and {(r[B.S1], r[B.TARGET], r["ord"], r["blocking_key"]) for r in got} == want
+
+
 def test_caps_decide_by_order(spark, world):
     _, t = world
     q = records(spark, ("S1-9", "Common Name", "", "in"))
