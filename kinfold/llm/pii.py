@@ -10,9 +10,11 @@ Base kinds are patterns with a rule each (RULES): email, ip (parts at most 255),
    base spans is negative if it is exactly a base match that failed, or if letters or digits stand at its edge (a piece of
    a longer token); the others, those that the method is there to judge, have no label and are never learnt from.
 3. Gradient-boosted trees score each proposal from its format (length, digits, groups, signs, checksum, parts) and context
-   (characters and words beside it). They are trained here on a sample of at most `sample_rows` distinct labelled proposals,
-   the first by hash, so that neither repeats nor the layout of the input decide.
-4. On the part of the sample that the trees have not seen, a logistic fit on their margin, with an offset for each generator,
+   (characters and words beside it). They are trained here on three of five of all distinct labelled proposals, told apart by
+   the order of a hash, so that neither repeats nor the layout of the input decide. Proposals of equal features and label
+   are one weighted row; the trees get as many bins as it takes that Spark looks for splits in all rows, not in a sample.
+   (`sample_rows`, none unless given, bounds the proposals for callers that want it.)
+4. On the two of five that the trees have not seen, a logistic fit on their margin, with an offset for each generator,
    calibrates the scores, and each generator gets the smallest probability (a half at least) above which at least
    `precision` of its held-out proposals are positive, with `least` positives at least. Base matches have no part in this. A
    generator without such a threshold adds nothing.
@@ -32,6 +34,8 @@ gives an empty result; without proposals of both labels no model is trained and
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -60,7 +64,9 @@ PATTERNS = {
 GENERATORS = tuple(g for g in PATTERNS if g not in BASE)
 KINDS = (*BASE, *(f"ml_{g}" for g in GENERATORS))
 ANY = r"[0-9@]|[(\[]at[)\]]"
-SAMPLE_ROWS, PRECISION, LEAST, CONTEXT = 20_000, 0.95, 3, 24
+SAMPLE_ROWS, PRECISION, LEAST, CONTEXT = None, 0.95, 3, 24
+#: Bins of a feature, and the rows up to which Spark's trees read all of them for its splits with so few.
+BINS, BINNED_ROWS = 32, 10_000
 KEYWORDS = {"tel": "tel|phone|call|fax|mobil", "pay": "card|visa|credit|pay|iban|konto", "mail": "mail|contact|write", "net": r"\bip|host|server|addr|login", "key": "token|secret|key|hash|id"}
 NO_ID = -(2**63)
 SPANS, ORDERED = f"{OWN}spans", f"{OWN}ordered"
@@ -180,32 +186,52 @@ def _calibrated(calibration, rows: DataFrame) -> DataFrame:
     return out.drop(FEATURES, MARGIN, "rawPrediction", "probability", "prediction")
 
 
-def train(rows: DataFrame, sample_rows: int, precision: float, least: int) -> Selector | None:
-    """None if the labelled proposals do not hold both labels, on either part of the sample."""
+def _parted(known: DataFrame, keys: list[str]) -> DataFrame:
+    """known with fit: two of five of either label, in the order of the hash, are held out.
+
+    The place of a proposal is its place in one of 1024 ranges of the hash plus the sizes of those before: no task sorts a whole label.
+    """
     place = F.xxhash64("m", "left", "right", "gen")
+    rows = cut(known.withColumn("range", F.shiftright(place, 54)))
+    sizes = rows.groupBy("label", "range").agg(F.count("*").alias("n"))  # 2048 rows at most
+    before = F.sum("n").over(W.partitionBy("label").orderBy("range")) - F.col("n")
+    within = F.row_number().over(W.partitionBy("label", "range").orderBy(place, *keys))
+    placed = rows.join(F.broadcast(sizes.select("label", "range", before.alias("before"))), ["label", "range"])
+    return placed.withColumn("fit", (F.col("before") + within) % 5 % 2 == 1).drop("before", "range")
+
+
+def train(rows: DataFrame, sample_rows: int | None, precision: float, least: int) -> Selector | None:
+    """None if the labelled proposals do not hold both labels, on either part. All of them count, unless `sample_rows` is given."""
     keys = ["gen", "m", "left", "right", "n_digits", "luhn", "quad"]
     known = rows.where("label is not null").groupBy(*keys).agg(F.max("label").alias("label"))
-    first = known.orderBy(place, *keys).limit(sample_rows)
-    # Two of five of either label, in the order of the hash, are held out; the sample is bounded.
-    rank = F.row_number().over(W.partitionBy("label").orderBy(place, *keys))
-    sample = cut(first.withColumn("fit", rank % 5 % 2 == 1))
-    both = {(r["fit"], r["label"]) for r in sample.select("fit", "label").distinct().collect()}  # four rows
+    if sample_rows is not None:
+        known = known.orderBy(F.xxhash64("m", "left", "right", "gen"), *keys).limit(sample_rows)
+    parted = cut(_parted(known, keys))
+    both = {(r["fit"], r["label"]) for r in parted.select("fit", "label").distinct().collect()}  # four rows
     if len(both) < 4:
         return None
-    named = features()
-    data = VectorAssembler(inputCols=list(named), outputCol=FEATURES).transform(sample.where("fit").withColumns(named)).select(FEATURES, "label")
-    trees = GBTClassifier(featuresCol=FEATURES, maxIter=12, maxDepth=4, stepSize=0.3, seed=42, maxBins=32, minInstancesPerNode=2).fit(data)
-    held = cut(_scored(trees, sample.where("not fit").select(*keys, "label")).select("gen", "label", MARGIN))
-    calibration = LogisticRegression(featuresCol=FEATURES, regParam=0.001, maxIter=50).fit(_offsets(held))
+    named, weight = {f"{OWN}{k}": c for k, c in features().items()}, f"{OWN}weight"
+    distinct = parted.where("fit").withColumns(named).groupBy(*named, "label").agg(F.count("*").cast("double").alias(weight))
+    data = cut(VectorAssembler(inputCols=list(named), outputCol=FEATURES).transform(distinct).select(FEATURES, "label", weight))
+    n, total = data.agg(F.count("*"), F.sum(weight)).first()
+    # Spark reads max(BINNED_ROWS, bins squared) rows for the splits; a node has two proposals at least.
+    bins = BINS if n <= BINNED_ROWS else max(BINS, math.isqrt(n) + 1)
+    trees = GBTClassifier(
+        featuresCol=FEATURES, weightCol=weight, maxIter=12, maxDepth=4, stepSize=0.3, seed=42, maxBins=bins, minInstancesPerNode=1, minWeightFractionPerNode=min(0.49, 1.5 / total)
+    ).fit(data)
+    held = _scored(trees, parted.where("not fit").select(*keys, "label")).groupBy("gen", "label", MARGIN).agg(F.count("*").cast("double").alias(weight))
+    held = cut(held)
+    calibration = LogisticRegression(featuresCol=FEATURES, weightCol=weight, regParam=0.001, maxIter=50).fit(_offsets(held))
     # Ordered by steps of a thousandth: a window over the steps, not over the proposals.
-    steps = _calibrated(calibration, held).groupBy("gen", F.floor(F.col("p") * 1000).alias("step")).agg(F.sum("label").alias("hit"), F.count("*").alias("n"))
+    hit, every = F.sum(F.col("label") * F.col(weight)), F.sum(weight)
+    steps = _calibrated(calibration, held).groupBy("gen", F.floor(F.col("p") * 1000).alias("step")).agg(hit.alias("hit"), every.alias("n"))
     order = W.partitionBy("gen").orderBy(F.col("step").desc())
     above = steps.where("step >= 500").withColumns({"hit": F.sum("hit").over(order), "n": F.sum("n").over(order)})
     chosen = above.where((F.col("hit") >= least) & (F.col("hit") >= precision * F.col("n"))).groupBy("gen").agg((F.min("step") / 1000).alias("p"))
     return Selector(trees, calibration, {r["gen"]: r["p"] for r in chosen.collect()})  # one row per generator
 
 
-def selected(rows: DataFrame, sample_rows: int, precision: float, least: int) -> DataFrame:
+def selected(rows: DataFrame, sample_rows: int | None, precision: float, least: int) -> DataFrame:
     """(id, text key, kind, start, end): base spans, and proposals that the model selects."""
     names = (ID, TEXT_HASH, "kind", "start", "end")
     base = rows.where("base").withColumn("kind", F.col("gen")).select(*names)
@@ -218,7 +244,7 @@ def selected(rows: DataFrame, sample_rows: int, precision: float, least: int) ->
     return base.unionByName(outer.withColumn("kind", F.concat(F.lit("ml_"), "gen")).select(*names))
 
 
-def spans_of(docs: DataFrame, sample_rows: int, precision: float, least: int) -> tuple[DataFrame, DataFrame]:
+def spans_of(docs: DataFrame, sample_rows: int | None, precision: float, least: int) -> tuple[DataFrame, DataFrame]:
     """docs with document keys, and (id, text key, spans): the spans of each document that has some, by kind, then start."""
     keyed = docs.withColumns({ID: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), TEXT_HASH: text_key()})
     rows = cut(with_labels(with_rules(candidates(keyed.select(ID, TEXT_HASH, "text")))))
@@ -227,7 +253,7 @@ def spans_of(docs: DataFrame, sample_rows: int, precision: float, least: int) ->
     return keyed, spans.groupBy(ID, TEXT_HASH).agg(F.array_sort(F.collect_list(F.struct(place, "start", "end", "kind"))).alias(SPANS))
 
 
-def find_pii(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS, precision: float = PRECISION, least: int = LEAST) -> DataFrame:
+def find_pii(docs: DataFrame, *, sample_rows: int | None = SAMPLE_ROWS, precision: float = PRECISION, least: int = LEAST) -> DataFrame:
     """One row per row of docs (doc_id, text): counts of the base kinds and of all spans, digest of the base spans, all spans."""
     keyed, listed = spans_of(docs.select("doc_id", "text"), sample_rows, precision, least)
     joined = keyed.select(F.col("doc_id").cast("long"), ID, TEXT_HASH).join(listed, [ID, TEXT_HASH], "left")
@@ -238,7 +264,7 @@ def find_pii(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS, precision: floa
     return every.select("doc_id", *counts, F.size("spans").cast("long").alias("n_spans"), F.sha2(base, 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
-def redact(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS, precision: float = PRECISION, least: int = LEAST) -> DataFrame:
+def redact(docs: DataFrame, *, sample_rows: int | None = SAMPLE_ROWS, precision: float = PRECISION, least: int = LEAST) -> DataFrame:
     """docs with every span of `text` replaced by its kind in brackets; of overlapping spans the first, then longest, counts."""
     keyed, listed = spans_of(docs, sample_rows, precision, least)
     ordered = F.array_sort(F.transform(SPANS, lambda s: F.struct(s["start"].alias("a"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))

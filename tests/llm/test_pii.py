@@ -104,6 +104,22 @@ def test_selection_against_brute_force(spark):
     assert got == want and any(k.startswith("ml_") for _, k, *_ in want)
 
 
+def test_all_labelled_proposals_count(spark):
+    """24000 proposals of one generator, and others of a second one that all come after 20000 of them in the order of the hash."""
+    F = M.F
+    place = F.xxhash64("m", "left", "right", "gen")
+    made = lambda n, gen, m, left: spark.range(n).select(F.lit(gen).alias("gen"), m.alias("m"), left.alias("left"), F.lit("").alias("right"), F.col("id"))
+    good = F.col("id") % 2 == 0
+    many = made(24_000, "digits", F.format_string("4%015d", "id"), F.lit("no "))
+    late = many.select(place.alias("place")).orderBy("place").collect()[20_000]["place"]
+    few = made(3000, "local", F.format_string("555-201-%04d", "id"), F.when(good, "tel ").otherwise("x"))
+    rows = many.unionByName(few.where(place > late)).withColumns(
+        {"n_digits": F.when(F.col("gen") == "digits", 16).otherwise(10), "luhn": (F.col("gen") == "digits") & good, "quad": F.lit(False), "label": good.cast("double")}
+    )
+    model = M.train(rows.drop("id"), M.SAMPLE_ROWS, M.PRECISION, M.LEAST)
+    assert set(model.thresholds) == {"digits", "local"}
+
+
 def test_model_does_not_depend_on_the_layout(spark):
     one, two = (sorted(map(tuple, M.find_pii(frame(spark, people()).repartition(n)).collect())) for n in (1, 7))
     assert one == two
